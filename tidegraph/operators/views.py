@@ -39,7 +39,7 @@ def create_views(spark: SparkSession, pubkeys: str, follows: str) -> None:
     body = {
         "follow_edges": f"SELECT follower_id, followee_id FROM {follows}",
         "pubkey_lookup": f"SELECT id, pubkey FROM {pubkeys}",
-        "pubkey_freshness": f"SELECT id, CASE status WHEN 'in_progress' THEN 'discovered' ELSE status END, last_fetched_at FROM {pubkeys}",
+        "pubkey_freshness": f"SELECT id, CASE status WHEN 'in_progress' THEN 'discovered' ELSE status END AS status, last_fetched_at FROM {pubkeys}",
     }
     for name, (about, columns) in CONTRACT.items():
         named = ", ".join(f"{c} COMMENT 'PUBLIC CONTRACT: {text}'" for c, text in columns.items())

@@ -6,16 +6,13 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators import edge_diff, gate
-from ..operators.dictionary import get_or_create, resolved
 from ..operators.signals import ALPHA
 from ..operators.tags import FOLLOW_CAP
-from ..schemas import KIND_FOLLOWS
-from ..store import Store, settled
+from ..plans.ingest import apply_follow_lists, follow_lists
+from ..store import Store
 
 HEALTH = "source long, score double, n long"
 _STATE = "score double, n long"
@@ -37,27 +34,15 @@ def stream_health(samples: DataFrame, alpha: float = ALPHA) -> DataFrame:
 
 
 def ingest_batch(store: Store, events: DataFrame, requested: DataFrame, as_of: int, cap: int = FOLLOW_CAP) -> None:
-    """One micro-batch of verified events (id, author, created_at, kind, followees as keys) into the store's next version."""
+    """One micro-batch of signed events into the store's next version."""
     base = store.current()
-    winners = settled(gate.resolve(events, requested, KIND_FOLLOWS, as_of).where(F.size("followees") <= cap), "winners")
-    pairs = winners.select("author", F.explode_outer("followees").alias("followee"))
-    keys = winners.select(F.col("author").alias("pubkey")).union(pairs.where("followee is not null").select("followee")).distinct()
-    dictionary = settled(get_or_create(base.pubkeys.select("id", "pubkey"), keys), "dictionary")
-    known = base.pubkeys
-    blank = dictionary.join(known.select("id"), "id", "left_anti")
-    empty = {"status": F.lit("discovered"), "fetch_count": F.lit(0).cast("long"), "change_count": F.lit(0).cast("long"), "fetch_attempts": F.lit(0).cast("short")}
-    new = blank.select(*[F.col(f.name) if f.name in ("id", "pubkey") else empty.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in known.schema.fields])
-    state = known.unionByName(new)
-    ids = dictionary.select("id", F.col("pubkey").alias("author"))
-    edges = resolved(pairs.where("followee is not null"), dictionary).groupBy(F.col("follower_id").alias("id")).agg(F.collect_set("followee_id").alias("followee_ids"))
-    heads = winners.withColumnRenamed("id", "event_id").join(ids, "author").select("id", "event_id", F.timestamp_seconds("created_at").alias("created_at"))
-    lists = heads.join(edges, "id", "left").withColumn("followee_ids", F.coalesce("followee_ids", F.array().cast("array<long>")))
-    after, follows = edge_diff.apply_lists(state, base.follows, settled(lists, "lists"), F.timestamp_seconds(F.lit(as_of)))
-    store.commit(base, pubkeys=settled(after, "pubkeys"), follows=settled(follows, "follows"))
+    lists = follow_lists(events, requested, as_of, cap=cap)
+    pubkeys, follows = apply_follow_lists(base.pubkeys, base.follows, lists, as_of)
+    store.commit(base, pubkeys=pubkeys, follows=follows)
 
 
 def run(events: DataFrame, store: Store, requested: DataFrame, checkpoint: str, clock: Callable[[], int], **trigger) -> StreamingQuery:
-    """Applies a stream of verified events batch by batch.
+    """Applies a stream of signed events batch by batch.
 
     Within a batch the newest list wins; an event that was applied before only confirms,
     so a batch that is run again after a failure changes nothing.
