@@ -11,7 +11,7 @@ from tidegraph.operators import edge_diff, frontier, views
 from tidegraph.plans import crawl as C
 from tidegraph.plans.ingest import with_keys
 from tidegraph.schemas import PUBKEYS
-from tidegraph.sources.relay import RelayEvents
+from tidegraph.sources import relay as relay_source
 from tidegraph.store import Store, settled
 
 from .fixtures import authors, event, follows, frame, key
@@ -195,7 +195,7 @@ def test_contract_views(spark, store):
 
 
 def test_relay_source(spark, tmp_path):
-    spark.dataSource.register(RelayEvents)
+    relay_source.register(spark)
     events = [follows(a, NOW - i, 2, 3) for a, i in itertools.product((1, 2), range(7))] + [follows(9, NOW, 1)]
     for n, relay in enumerate(("a", "b")):
         (tmp_path / relay).mkdir()

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..deploy import ship
 from ..functions.scalars import saturating_add
 from ..functions.schnorr import valid_event
 
@@ -27,6 +28,7 @@ def with_signature_check(events: DataFrame, name: str = "valid") -> DataFrame:
     The only Python in the pipeline.  Equal rows (one event from many relays) are
     verified once: distinct on all columns but the relay is safe before verification.
     """
+    ship(events.sparkSession)
     own = [c for c in events.columns if c != "relay_url"]
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -12,8 +12,10 @@ import os
 import time
 from collections.abc import Iterator
 
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..deploy import ship
 from ..operators.pagination import PAGES, scanned
 
 NAME = "relay_events"
@@ -100,3 +102,9 @@ class RelayEvents(DataSource):
 
     def reader(self, schema) -> RelayReader:
         return RelayReader(self.options)
+
+
+def register(spark: SparkSession) -> None:
+    """Makes `spark.read.format("relay_events")` known."""
+    ship(spark)
+    spark.dataSource.register(RelayEvents)
