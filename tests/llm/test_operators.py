@@ -185,8 +185,7 @@ def test_license_scan_equals_all_pairs(spark, docs):
             if cosine > best[0] + 1e-12:
                 best = (cosine, name)
         assert found[path][0] == (best[1] if best[0] >= licenses.THRESHOLD else None)
-        if best[0] >= licenses.THRESHOLD:
-            assert abs(found[path][1] - best[0]) < 1e-9
+        assert abs(found[path][1] - (best[0] if best[0] >= licenses.THRESHOLD else 0)) < 1e-9
 
 
 def test_license_inheritance(spark):

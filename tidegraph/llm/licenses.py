@@ -87,7 +87,7 @@ class Scanner:
             if cosine > best + 1e-12:
                 best, licence = cosine, name
             at = z
-        return (best, licence) if best >= self.threshold else (best, None)
+        return (best, licence) if best >= self.threshold else (0.0, None)
 
 
 def _frequencies(files: DataFrame, vocabulary: list[str]) -> tuple[int, dict[str, int]]:
@@ -111,7 +111,7 @@ def _frequencies(files: DataFrame, vocabulary: list[str]) -> tuple[int, dict[str
 
 
 def scan(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """path, own_license (null if no line reaches the threshold), similarity of every row of files (path, text)."""
+    """path, own_license, similarity of every row of files (path, text); null and 0 if no line reaches the threshold."""
     rows = pick(files, "path", "text")
     vocabulary = sorted({w for lines in templates.values() for line in lines for w in _tokens(line)})
     shared = rows.sparkSession.sparkContext.broadcast(Scanner(templates, *_frequencies(rows, vocabulary), threshold))

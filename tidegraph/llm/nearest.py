@@ -49,6 +49,16 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def inner(q: np.ndarray, r: np.ndarray, c: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """q[r].c[s] for each pair, added up in the order of the components, so that equal vectors give equal scores anywhere."""
+    out = np.zeros(len(r))
+    for i in range(0, len(r), PAIRS):
+        at = slice(i, i + PAIRS)
+        for j in range(q.shape[1]):
+            out[at] += q[r[at], j] * c[s[at], j]
+    return out
+
+
 def tile(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(query ids, candidate ids, scores) of the k best candidates in the tile of each query."""
     qc, qs, qn, qe = quantised(q)
@@ -66,7 +76,7 @@ def tile(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int)
             r, s = np.nonzero((high >= kth[:, None]) & ~own)
         else:
             r, s = np.nonzero(~own)
-        score = np.concatenate([np.empty(0), *(np.einsum("ij,ij->i", q[rows][r[j : j + PAIRS]], c[s[j : j + PAIRS]]) for j in range(0, len(r), PAIRS))])
+        score = inner(q[rows], r, c, s)
         order = np.lexsort((cid[s], -score, r))
         r, s, score = r[order], s[order], score[order]
         start = np.searchsorted(r, np.arange(r[-1] + 1 if len(r) else 0))

@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..deploy import ship
+
 #: Arrow batches carry at most about this many bytes to a Python worker.
 BATCH_BYTES = 16 << 20
 BATCH_ROWS = 4000
@@ -68,6 +70,7 @@ def column(df: DataFrame, name: str) -> Column:
 def map_batches(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow with batches bounded by bytes as well as rows."""
     spark = df.sparkSession
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return df.mapInArrow(f, schema)
