@@ -5,22 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..store import settled
+from ..store import fresh
 
 
 def hops(edges: DataFrame, anchor, most: int = 10_000) -> DataFrame:
     """(node, hop) of everything reachable from the anchor over edges (src, dst).
 
-    Each level joins only the newest nodes with the edges and drops those seen; both
-    are written tables, so the plan stays short and a lost executor loses one level.
+    Each level joins only the newest nodes with the edges, drops those seen, and is
+    written once; what was seen is the levels' files together.  So the plan stays short,
+    nothing is written twice, and a lost executor loses one level at most.
     """
     spark = edges.sparkSession
-    kind = edges.schema["src"].dataType.simpleString()
-    seen = front = spark.createDataFrame([(anchor, 0)], f"node {kind}, hop int")
+    home = fresh(spark, "levels")
+    start = spark.createDataFrame([(anchor, 0)], f"node {edges.schema['src'].dataType.simpleString()}, hop int")
+    start.write.parquet(f"{home}/0")
     for hop in range(1, most + 1):
-        reached = edges.join(front.select(F.col("node").alias("src")), "src").select(F.col("dst").alias("node")).distinct()
-        front = settled(reached.join(seen, "node", "left_anti").withColumn("hop", F.lit(hop)), "front")
+        paths = [f"{home}/{i}" for i in range(hop)]
+        seen, front = (spark.read.schema(start.schema).parquet(*p) for p in (paths, paths[-1:]))
         if front.isEmpty():
             return seen
-        seen = settled(seen.unionByName(front), "seen")
+        reached = edges.join(front.select(F.col("node").alias("src")), "src").select(F.col("dst").alias("node")).distinct()
+        reached.join(seen, "node", "left_anti").select("node", F.lit(hop).alias("hop")).write.parquet(f"{home}/{hop}")
     raise RuntimeError(f"not done after {most} levels")
