@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from ..deploy import ship
 
 #: Arrow batches carry at most about this many bytes to a Python worker.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 BATCH_ROWS = 4000
 
 
@@ -67,13 +68,22 @@ def column(df: DataFrame, name: str) -> Column:
     return F.col(f"__c{df.columns.index(name)}")
 
 
-def map_batches(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow with batches bounded by bytes as well as rows."""
+def map_batches(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, tokens: bool = False) -> DataFrame:
+    """mapInArrow with batches bounded by bytes as well as rows.
+
+    Python workers outlive their tasks; one that turns to an operator without `tokens` drops the words it remembers.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not tokens and (module := sys.modules.get("tidegraph.llm.tokens")):
+            module.forget()
+        yield from f(batches)
+
     spark = df.sparkSession
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-    return df.mapInArrow(f, schema)
+    return df.mapInArrow(run, schema)
 
 
 def held_out(modulus: int, remainder: int) -> Column:

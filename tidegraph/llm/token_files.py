@@ -83,7 +83,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str = "word_bpe_
     bounds = [] if size <= SHARD_BYTES else rows.where("doc_id is not null").agg(F.percentile_approx("doc_id", [i / -(-size // SHARD_BYTES) for i in range(1, -(-size // SHARD_BYTES))], 10_000)).first()[0] or []
     bounds = sorted(set(bounds))
     part = F.expr(_search(bounds)) if bounds else F.lit(0)
-    dealt = map_batches(rows, encode, "doc_id long, ids binary").withColumn("part", part).repartitionById(len(bounds) + 1, F.col("part"))
+    dealt = map_batches(rows, encode, "doc_id long, ids binary", tokens=True).withColumn("part", part).repartitionById(len(bounds) + 1, F.col("part"))
     sorted_rows = dealt.sortWithinPartitions("doc_id", F.length("ids")).select("doc_id", "ids")
     shards = sorted(map_batches(sorted_rows, write, MANIFEST).collect(), key=lambda r: r["part"])
     bases = [0, *accumulate(r["tokens"] for r in shards)]

@@ -4,8 +4,8 @@ A text is cut at boundaries that no token crosses: for `byte_bpe_50k.json` befor
 single space or line feed that follows a non-space character, for `word_bpe_49k.json`
 at ASCII white space, which that tokenizer drops.  Pieces that aren't in a bounded memo
 go to the library: a word of Latin letters with plain punctuation straight to its BPE
-model, in two parts that its pre-tokenizer would make too, any other piece through the
-whole pipeline, many at a time.
+model, in the two parts that its pre-tokenizer would make too, any other piece through
+the whole pipeline.
 """
 
 from __future__ import annotations
@@ -14,8 +14,7 @@ import os
 import re
 import sys
 from array import array
-from collections.abc import Iterable
-from functools import lru_cache
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +25,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 from tokenizers import Tokenizer  # noqa: E402
 
 LITTLE = sys.byteorder == "little"
-#: Each of the two memos is emptied beyond this many entries: about 100 MB.
-MEMO = 500_000
+#: The memos are emptied beyond so many pieces and so many parts of pieces: together about 120 MB.
+MEMO, PARTS = 400_000, 300_000
 #: Pieces longer than this are encoded but not kept.
 LONG = 64
 
@@ -51,6 +50,22 @@ _LETTERS = _byte_letters()
 _ASCII = {b: _LETTERS[b] for b in (0x0A, 0x20)}
 
 
+class Memo(dict):
+    """Ids by piece; learns what it lacks, and starts anew when it is full."""
+
+    def __init__(self, learn: Callable[[bytes], bytes]):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, key: bytes) -> bytes:
+        ids = self.learn(key)
+        if len(key) <= LONG:
+            if len(self) >= MEMO:
+                self.clear()
+            self[key] = ids
+        return ids
+
+
 class Encoder:
     """Ids of texts, as little-endian arrays of `dtype`."""
 
@@ -62,7 +77,7 @@ class Encoder:
         self.dtype = np.dtype("<u2") if self.library.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.keeps_spaces = bool(self.library.encode(" ", add_special_tokens=False).ids)
-        self.memo: dict[bytes, bytes] = {}
+        self.memo = Memo(self._learn)
         self.parts: dict[str, bytes] = {}
 
     def _pieces(self, text: str) -> list[bytes] | None:
@@ -95,49 +110,48 @@ class Encoder:
         ids = self.parts.get(part)
         if ids is None:
             letters = part.translate(_ASCII) if part.isascii() else part.encode().decode("latin-1").translate(_LETTERS)
-            ids = self.parts[part] = self._ids([t.id for t in self.model.tokenize(letters)])
+            ids = self._ids([t.id for t in self.model.tokenize(letters)])
+            if len(part) <= LONG:
+                if len(self.parts) >= PARTS:
+                    self.parts.clear()
+                self.parts[part] = ids
         return ids
 
-    def learn(self, keys: Iterable[bytes]) -> dict[bytes, bytes]:
-        out, rest = {}, []
-        if len(self.parts) > MEMO:
-            self.parts.clear()
-        known, part, simple, spaces = self.parts.get, self._part, _SIMPLE.fullmatch, self.keeps_spaces
-        for key in keys:
-            if m := simple(self._piece(key)):
-                space, word, points = m.groups()
-                word = space + word if spaces else word.lower()
-                ids = known(word) or (part(word) if space != "\n" or not spaces else part("\n") + part(word[1:]))
-                out[key] = ids + (known(points) or part(points)) if points else ids
-            else:
-                rest.append(key)
-        for key, e in zip(rest, self.library.encode_batch_fast([self._piece(k) for k in rest], add_special_tokens=False), strict=True):
-            out[key] = self._ids(e.ids)
-        return out
+    def _learn(self, key: bytes) -> bytes:
+        """The ids of a piece that isn't in the memo."""
+        piece = self._piece(key)
+        if m := _SIMPLE.fullmatch(piece):
+            space, word, points = m.groups()
+            spaces, known, part = self.keeps_spaces, self.parts.get, self._part
+            word = space + word if spaces else word.lower()
+            ids = known(word) or (part(word) if space != "\n" or not spaces else part("\n") + part(word[1:]))
+            return ids + (known(points) or part(points)) if points else ids
+        return self._ids(self.library.encode(piece, add_special_tokens=False).ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of `dtype`."""
-        cut = [self._pieces(t) for t in texts]
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        learnt = self.learn(set().union(*(c for c in cut if c is not None)).difference(memo))
-        memo.update(learnt)
-        get = memo.__getitem__
-        out = [self._odd(t) if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut, strict=True)]
-        for key in learnt:
-            if len(key) > LONG:
-                del memo[key]
-        return out
+        get = self.memo.__getitem__
+        return [self._odd(t) if c is None else b"".join(map(get, c)) for t, c in ((t, self._pieces(t)) for t in texts)]
 
     def _odd(self, text: str) -> bytes:
         parts = [p for p in _SAFE.split(text) if p]
         return b"".join(self._ids(e.ids) for e in self.library.encode_batch_fast(parts, add_special_tokens=False))
 
 
-@lru_cache(maxsize=4)
+_encoders: dict[str, Encoder] = {}
+
+
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    """The encoder of a vocabulary file; a worker keeps one at a time."""
+    if path not in _encoders:
+        _encoders.clear()
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
+def forget() -> None:
+    """Frees the encoders and their memos."""
+    _encoders.clear()
 
 
 def path(name: str) -> str:
