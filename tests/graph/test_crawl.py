@@ -211,6 +211,22 @@ def test_relay_source(spark, tmp_path):
         read.option("max_authors", "2").option("limit", "2").load().count()
 
 
+def test_reconnects_with_growing_waits():
+    waits, tries = [], []
+
+    def connect():
+        tries.append(1)
+        if len(tries) < 4:
+            raise ConnectionError("refused")
+        return "there"
+
+    assert relay_source.reconnecting(connect, 3, 10, waits.append) == "there" and waits == [10, 20, 40]
+    tries.clear()
+    with pytest.raises(ConnectionError):
+        relay_source.reconnecting(connect, 2, 200, waits.append)
+    assert waits[3:] == [200, 300.0]
+
+
 # streams
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 import os
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -19,6 +19,8 @@ from ..deploy import ship
 from ..operators.pagination import PAGES, scanned
 
 NAME = "relay_events"
+#: Seconds between two attempts to connect, at most.
+RECONNECT_CAP = 300.0
 
 
 class FetchTimeout(RuntimeError):
@@ -58,6 +60,18 @@ class Throttle:
         self.next = max(self.next, now) + self.step
 
 
+def reconnecting(connect: Callable[[], Replay], retries: int, seconds: float, sleep: Callable[[float], None] = time.sleep) -> Replay:
+    """connect(), tried again after a wait that doubles each time, up to `retries` times."""
+    for n in range(retries + 1):
+        try:
+            return connect()
+        except OSError:
+            if n == retries:
+                raise
+            sleep(min(seconds * 2**n, RECONNECT_CAP))
+    raise AssertionError
+
+
 class RelayReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.relays = [r for r in options["relays"].split(",") if r]
@@ -68,13 +82,16 @@ class RelayReader(DataSourceReader):
         self.per_request = max(1, int(options.get("max_authors", "500")))
         self.timeout = float(options.get("timeout", "30"))
         self.rate = float(options.get("requests_per_second", "0"))
+        self.retries = int(options.get("retries", "0"))
+        self.retry_seconds = float(options.get("retry_seconds", "10"))
 
     def partitions(self) -> list[Chunk]:
         chunks = [self.authors[i : i + self.per_request] for i in range(0, len(self.authors), self.per_request)]
         return [Chunk(r, c) for r in self.relays for c in chunks]
 
     def read(self, partition: Chunk) -> Iterator[tuple]:
-        source, wanted = Replay(partition.relay), set(partition.authors)
+        source = reconnecting(lambda: Replay(partition.relay), self.retries, self.retry_seconds)
+        wanted = set(partition.authors)
         # the quota of a relay is shared by its partitions, which may all run at once
         shares = -(-len(self.authors) // self.per_request)
         throttle = Throttle(self.rate / shares) if self.rate else None
