@@ -131,7 +131,7 @@ def learn(docs: DataFrame) -> Model:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(g), which, np.int32)), pa.array(_slots(g, which).astype(np.int32)), b.column(1)], names=["which", "slot", "mask"])
 
     filters = np.zeros((HASHES, SLOTS), np.uint64)
-    for which, slot, mask in map_batches(masks, slots, "which int, slot int, mask long").groupBy("which", "slot").agg(F.bit_or("mask")).toLocalIterator():
+    for which, slot, mask in map_batches(masks, slots, "which int, slot int, mask long").groupBy("which", "slot").agg(F.bit_or("mask")).coalesce(4).toLocalIterator():
         filters[which, slot] = mask & (1 << 64) - 1
     return Model(langs, filters.astype(np.uint8) if len(langs) <= 8 else filters)
 

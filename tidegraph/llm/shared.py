@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import sys
 import tempfile
 import uuid
@@ -68,16 +69,24 @@ def column(df: DataFrame, name: str) -> Column:
     return F.col(f"__c{df.columns.index(name)}")
 
 
+def trim() -> None:
+    """Gives freed memory back, as a Python worker outlives its task and several share an executor."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_batches(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, tokens: bool = False) -> DataFrame:
     """mapInArrow with batches bounded by bytes as well as rows.
 
-    Python workers outlive their tasks; one that turns to an operator without `tokens` drops the words it remembers.
+    A worker that turns to an operator without `tokens` drops the words it remembers.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not tokens and (module := sys.modules.get("tidegraph.llm.tokens")):
             module.forget()
         yield from f(batches)
+        trim()
 
     spark = df.sparkSession
     ship(spark)

@@ -247,7 +247,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR) ->
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # about 6 bytes a word and an anchor each 9 words; some 8 cells an anchor
     bits = min(SKETCH_BITS, max(12, int(size / 6 / 9 * 8).bit_length()))
-    shared = rows.sparkSession.sparkContext.broadcast(Sketch(written(_sketch(rows, bits, width, anchor), "sketch").toLocalIterator(), bits))
+    shared = rows.sparkSession.sparkContext.broadcast(Sketch(written(_sketch(rows, bits, width, anchor), "sketch").coalesce(4).toLocalIterator(), bits))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = shared.value

@@ -42,7 +42,7 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def slices(texts: pa.Array, most: int = 1 << 19) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def slices(texts: pa.Array, most: int = 1 << 18) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of runs of rows with about `most` bytes; one longer text is a run of its own."""
     data, offsets = buffers(texts)
     row, n = 0, len(offsets) - 1
@@ -92,7 +92,7 @@ def _powers(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _bits(n: int) -> int:
-    return max(19, int(n).bit_length())
+    return max(18, int(n).bit_length())
 
 
 _BYTE = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
