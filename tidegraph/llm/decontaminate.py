@@ -26,6 +26,7 @@ SHARE = 20
 MOST_BYTES = 32 << 20
 FILTER_BITS = 24
 HITS = "doc_id long, n_words long, covered array<int>, items array<string>"
+TOTALS = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string"
 
 
 def _normal(text: str | None) -> list[bytes]:
@@ -85,8 +86,8 @@ def _parts(benchmark: DataFrame, most: int) -> Iterator[Windows]:
         yield Windows(found)
 
 
-def _scan(docs: DataFrame, windows: Windows) -> DataFrame:
-    """doc_id, n_words, covered ([first, end) of runs of hit words), items of every row of docs."""
+def _scan(docs: DataFrame, windows: Windows, only: bool) -> DataFrame:
+    """doc_id, n_words, covered ([first, end) of runs of hit words), items of every row of docs; their totals if this is the only scan."""
     shared = docs.sparkSession.sparkContext.broadcast(windows)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,9 +105,10 @@ def _scan(docs: DataFrame, windows: Windows) -> DataFrame:
                     items[row + rows[i]] |= of
                 for k, v in spans.items():
                     covered[row + k] = [x for span in united(v) for x in span]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts), pa.array(covered, pa.list_(pa.int32())), pa.array([sorted(x) for x in items], pa.list_(pa.string()))], names=["doc_id", "n_words", "covered", "items"])
+            found = pa.RecordBatch.from_arrays([b.column(0), pa.array(counts), pa.array(covered, pa.list_(pa.int32())), pa.array([sorted(x) for x in items], pa.list_(pa.string()))], names=["doc_id", "n_words", "covered", "items"])
+            yield from _totals(iter([found])) if only else [found]
 
-    return map_batches(pick(docs, "doc_id", "text"), scan, HITS)
+    return map_batches(pick(docs, "doc_id", "text"), scan, TOTALS if only else HITS)
 
 
 def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -138,18 +140,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, most_bytes: int = MOST_
     with a null id or text are left out; null ids of documents pass through and repeated
     rows stay repeated; with an empty benchmark nothing is hit; other columns are ignored.
     """
-    parts = [_scan(docs, w) for w in _parts(benchmark, most_bytes)]
-    if len(parts) == 1:
-        found = parts[0]
+    windows = _parts(benchmark, most_bytes)
+    first, second = next(windows), next(windows, None)
+    if second is None:
+        totals = _scan(docs, first, True)
     else:  # every row has its part of the hits in each scan; rows of one id and equal text have equal hits
         tagged = pick(docs, "doc_id", "text").groupBy("doc_id", F.xxhash64("text").alias("h")).count()
         if tagged.where("count > 1 or doc_id is null").limit(1).count() or tagged.groupBy("doc_id").count().where("count > 1").limit(1).count():
             raise ValueError("a benchmark of several broadcasts needs unique document ids")
-        rows = parts[0]
-        for p in parts[1:]:
-            rows = rows.unionByName(p)
+        rows = _scan(docs, first, False).unionByName(_scan(docs, second, False))
+        for w in windows:
+            rows = rows.unionByName(_scan(docs, w, False))
         found = rows.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("covered")).alias("covered"), F.flatten(F.collect_list("items")).alias("items"))
-    totals = map_batches(found, _totals, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string")
+        totals = map_batches(found, _totals, TOTALS)
     return totals.withColumn("contaminated", (F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words")))
 
 
