@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 PAGES = 10_000
 AUTHORS_PER_REQUEST = 500

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config, public_key
-from ..functions.scalars import age_seconds
 from ..operators import frontier, metrics
 from ..operators.limits import LARGEST_DOCUMENT, parsed
 from ..store import Store
@@ -22,8 +21,8 @@ from .crawl import Sources, Stats, crawl, refresh
 
 log = logging.getLogger(__name__)
 
-#: Seconds: a relay's whole answer and its connection (fixed values).
-LIMITS_TIMEOUT = 10
+#: Seconds for a relay's whole answer, and the media type of limits documents (fixed values).
+LIMITS_TIMEOUT, LIMITS_TYPE = 10, "application/nostr+json"
 
 
 class JsonLines(logging.Formatter):
@@ -42,7 +41,7 @@ def limits_documents(spark: SparkSession, relays: list[tuple[str, str]], fetch:
     """(url, limits) of the configured relays (url, http url); one that can't be had or is too large gives the defaults."""
 
     def get(url: str) -> bytes:
-        request = urllib.request.Request(url, headers={"Accept": "application/nostr+json"})
+        request = urllib.request.Request(url, headers={"Accept": LIMITS_TYPE})
         with urllib.request.urlopen(request, timeout=LIMITS_TIMEOUT) as answer:
             return answer.read(LARGEST_DOCUMENT + 1)
 
