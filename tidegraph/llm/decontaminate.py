@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .shared import column, map_batches, numbered, pick
+from .shared import map_batches, pick, without
 
 WIDTH = 13
 #: Contaminated: hit words are at least one in so many.
@@ -158,5 +158,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame, most_bytes: int = MOST_
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the contaminated documents; rows without doc_id stay."""
-    bad = contamination(docs, benchmark).where("contaminated and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
-    return numbered(docs).join(bad, column(docs, "doc_id") == F.col("__id"), "left_anti").toDF(*docs.columns)
+    return without(docs, contamination(docs, benchmark).where("contaminated and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct())

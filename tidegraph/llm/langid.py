@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import text as T
-from .shared import column, held_out, map_batches, numbered, pick, written
+from .shared import column, held_out, map_batches, numbered, pick, without, written
 
 GRAM = 4
 SLOTS = 1 << 20
@@ -186,5 +186,4 @@ def language_id(docs: DataFrame) -> DataFrame:
 def with_language(docs: DataFrame) -> DataFrame:
     """docs whose text has a language: rows of `und` go (null texts, texts without a letter); rows without doc_id stay if they have a text."""
     bad = predict(docs, learn(train_rows(docs))).where("lang_pred = 'und' and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
-    rows = numbered(docs).where(column(docs, "text").isNotNull())
-    return rows.join(bad, column(docs, "doc_id") == F.col("__id"), "left_anti").toDF(*docs.columns)
+    return without(numbered(docs).where(column(docs, "text").isNotNull()).toDF(*docs.columns), bad)

@@ -69,6 +69,15 @@ def column(df: DataFrame, name: str) -> Column:
     return F.col(f"__c{df.columns.index(name)}")
 
 
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs without the rows whose doc_id is among ids (__id); rows of no id stay.
+
+    The ids are written first, so that Spark knows how many there are when it plans: it
+    broadcasts them if they are few, and only otherwise shuffles the documents.
+    """
+    return numbered(docs).join(written(ids, "ids"), column(docs, "doc_id") == F.col("__id"), "left_anti").toDF(*docs.columns)
+
+
 def trim() -> None:
     """Gives freed memory back, as a Python worker outlives its task and several share an executor."""
     pa.default_memory_pool().release_unused()

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from . import text as T
 from .components import components
-from .shared import column, map_batches, numbered, pick, written
+from .shared import map_batches, numbered, pick, without, written
 
 BITS = 64
 RADIUS = 3
@@ -186,10 +186,10 @@ def simhash_components(docs: DataFrame) -> DataFrame:
 
 def simhash_dedup(docs: DataFrame) -> DataFrame:
     """docs without the near-copies: of each component the row of the smallest doc_id stays, once; rows without doc_id stay."""
-    found = written(simhash_components(docs).select(F.col("doc_id").alias("__id"), F.col("component_id").alias("__of")), "components")
-    keep = found.where("__id = __of").groupBy("__id").agg(F.count(F.lit(1)).alias("__n"))
-    rows = numbered(docs)
-    kept = rows.join(keep, column(docs, "doc_id") == F.col("__id"), "left_semi")
-    if keep.where("__n > 1").limit(1).count():
-        kept = kept.dropDuplicates([f"__c{docs.columns.index('doc_id')}"])
-    return kept.unionByName(rows.where(column(docs, "doc_id").isNull())).toDF(*docs.columns)
+    found = written(simhash_components(docs), "components").where("doc_id is not null")
+    copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()
+    kept = without(docs, copies)
+    if found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return kept
+    rows, one = numbered(kept), f"__c{docs.columns.index('doc_id')}"
+    return rows.where(F.col(one).isNotNull()).dropDuplicates([one]).unionByName(rows.where(F.col(one).isNull())).toDF(*docs.columns)
