@@ -24,9 +24,11 @@ from pyspark.sql import functions as F
 
 from .shared import map_batches, pick, written
 
-#: Vectors per block; a tile's products take QUERY_ROWS x 1024 floats at a time.
-BLOCK = 8192
-QUERY_ROWS = 256
+#: Vectors per block at least, how many blocks there should be, and components per block at most: blocks
+#: grow with the table, as each vector is sent once to every block of the other side, until memory bounds them.
+BLOCK, BLOCKS, COMPONENTS = 8192, 64, 8 << 20
+#: Products that a tile holds at once.
+PRODUCTS = 2 << 20
 #: Survivors that are recomputed at once.
 PAIRS = 1 << 16
 BEST = "query_id long, vec_id long, score double"
@@ -64,8 +66,9 @@ def tile(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int)
     qc, qs, qn, qe = quantised(q)
     cc, cs, cn, ce = quantised(c)
     slack = 1 + 1e-9
-    for i in range(0, len(q), QUERY_ROWS):
-        rows = slice(i, i + QUERY_ROWS)
+    step = max(1, PRODUCTS // len(c))
+    for i in range(0, len(q), step):
+        rows = slice(i, i + step)
         near = products(qc[rows], cc) * qs[rows, None] * cs[None, :]
         error = (qn[rows, None] * ce + qe[rows, None] * (cn + ce)) * slack + 1e-12 * (qn[rows, None] + qe[rows, None]) * (cn + ce)
         low, high = near - error, near + error
@@ -96,7 +99,7 @@ def _usable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], t) for j, t in enumerate((pa.int64(), pa.int32(), pa.binary()))], names=["vec_id", "dim", "vector"])
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, block: int = BLOCK) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, block: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: the k rows of largest inner product with each query, all if fewer.
 
     Queries are the rows whose vec_id is divisible by `every`, candidates every other row
@@ -108,7 +111,8 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, block: int = BLOCK
     rows = map_batches(pick(vectors, "vec_id", "embedding"), _usable, "vec_id long, dim int, vector binary")
     rows = written(rows.groupBy("vec_id").agg(F.max(F.struct("dim", "vector")).alias("x")).select("vec_id", "x.dim", "x.vector"), "vectors")
     is_query = F.col("vec_id") % every == 0
-    n, m = rows.agg(F.count("vec_id"), F.count_if(is_query)).first()
+    n, m, dim = rows.agg(F.count("vec_id"), F.count_if(is_query), F.max("dim")).first()
+    block = block or max(1, min(max(BLOCK, n // BLOCKS), COMPONENTS // (dim or 1)))
     across, down = max(1, -(-n // block)), max(1, -(-m // block))
 
     def dealt(df: DataFrame, own: int, other: int, query: bool) -> DataFrame:
