@@ -25,8 +25,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 from tokenizers import Tokenizer  # noqa: E402
 
 LITTLE = sys.byteorder == "little"
-#: The memos are emptied beyond so many pieces and so many parts of pieces: together about 120 MB.
-MEMO, PARTS = 400_000, 300_000
+#: The memos hold up to twice so many pieces and parts of pieces: together about 200 MB.
+MEMO, PARTS = 300_000, 200_000
 #: Pieces longer than this are encoded but not kept.
 LONG = 64
 
@@ -47,20 +47,24 @@ def _byte_letters() -> dict[int, str]:
 
 
 _LETTERS = _byte_letters()
-_ASCII = {b: _LETTERS[b] for b in (0x0A, 0x20)}
+_POINTS = b".,;:!?"
 
 
 class Memo(dict):
-    """Ids by piece; learns what it lacks, and starts anew when it is full."""
+    """Ids by piece, in two generations: when the younger is full it becomes the older, and what is used again moves back."""
 
-    def __init__(self, learn: Callable[[bytes], bytes]):
+    def __init__(self, most: int, learn: Callable):
         super().__init__()
-        self.learn = learn
+        self.most, self.learn = most, learn
+        self.older: dict = {}
 
-    def __missing__(self, key: bytes) -> bytes:
-        ids = self.learn(key)
+    def __missing__(self, key):
+        ids = self.older.get(key)
+        if ids is None:
+            ids = self.learn(key)
         if len(key) <= LONG:
-            if len(self) >= MEMO:
+            if len(self) >= self.most:
+                self.older = dict(self)
                 self.clear()
             self[key] = ids
         return ids
@@ -77,8 +81,8 @@ class Encoder:
         self.dtype = np.dtype("<u2") if self.library.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.keeps_spaces = bool(self.library.encode(" ", add_special_tokens=False).ids)
-        self.memo = Memo(self._learn)
-        self.parts: dict[str, bytes] = {}
+        self.memo = Memo(MEMO, self._learn)
+        self.parts = Memo(PARTS, self._part)
 
     def _pieces(self, text: str) -> list[bytes] | None:
         """Keys of the memo; None if the text's white space is not plain.
@@ -107,25 +111,22 @@ class Encoder:
 
     def _part(self, part: str) -> bytes:
         """The ids of one pre-token."""
-        ids = self.parts.get(part)
-        if ids is None:
-            letters = part.translate(_ASCII) if part.isascii() else part.encode().decode("latin-1").translate(_LETTERS)
-            ids = self._ids([t.id for t in self.model.tokenize(letters)])
-            if len(part) <= LONG:
-                if len(self.parts) >= PARTS:
-                    self.parts.clear()
-                self.parts[part] = ids
-        return ids
+        letters = part.replace(" ", _LETTERS[0x20]).replace("\n", _LETTERS[0x0A]) if part.isascii() else part.encode().decode("latin-1").translate(_LETTERS)
+        return self._ids([t.id for t in self.model.tokenize(letters)])
 
     def _learn(self, key: bytes) -> bytes:
         """The ids of a piece that isn't in the memo."""
+        parts = self.parts
+        word = key if key.isalpha() else key.rstrip(_POINTS)
+        if word.isalpha():  # ASCII letters
+            ids = parts[" " + word.decode() if self.keeps_spaces else word.lower().decode()]
+            return ids + parts[key[len(word) :].decode()] if len(word) < len(key) else ids
         piece = self._piece(key)
         if m := _SIMPLE.fullmatch(piece):
             space, word, points = m.groups()
-            spaces, known, part = self.keeps_spaces, self.parts.get, self._part
-            word = space + word if spaces else word.lower()
-            ids = known(word) or (part(word) if space != "\n" or not spaces else part("\n") + part(word[1:]))
-            return ids + (known(points) or part(points)) if points else ids
+            word = space + word if self.keeps_spaces else word.lower()
+            ids = parts[word] if space != "\n" or not self.keeps_spaces else parts["\n"] + parts[word[1:]]
+            return ids + parts[points] if points else ids
         return self._ids(self.library.encode(piece, add_special_tokens=False).ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
