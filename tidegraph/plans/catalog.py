@@ -311,6 +311,28 @@ def bfs_hops(spark, d):
     return bfs.hops(settled(_graph(spark, d), "edges"), f"c{first}")
 
 
+_WHOLE_SQL = """e AS (SELECT DISTINCT 'c' || o_custkey AS src, 's' || l_suppkey AS dst FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+    UNION SELECT DISTINCT 's' || l_suppkey, 'c' || o_custkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_returnflag = 'R')"""
+
+
+def _whole_graph(spark, d):
+    o = D.table(spark, d, "orders").select(F.concat(F.lit("c"), "o_custkey").alias("c"), "o_orderkey")
+    li = D.table(spark, d, "lineitem").select("l_orderkey", F.concat(F.lit("s"), "l_suppkey").alias("s"), "l_returnflag")
+    both = o.join(li, F.col("o_orderkey") == F.col("l_orderkey"))
+    out = both.select(F.col("c").alias("src"), F.col("s").alias("dst"))
+    back = both.where("l_returnflag = 'R'").select(F.col("s").alias("src"), F.col("c").alias("dst"))
+    return out.union(back).distinct()
+
+
+@query(f"WITH RECURSIVE {_WHOLE_SQL}, r(node, hop) USING KEY (node) AS (SELECT 'c' || (SELECT min(c_custkey) FROM customer), 0 UNION SELECT dst, hop + 1 FROM r JOIN e ON src = node WHERE NOT EXISTS (SELECT 1 FROM recurring.r AS k WHERE k.node = dst)) SELECT node, CAST(hop AS INTEGER) AS hop FROM r")
+def bfs_hops_whole(spark, d):
+    """bfs_hops over the whole tables: every line item is an edge, and neither side stops at a number of hops."""
+    from ..store import settled
+
+    first = D.table(spark, d, "customer").agg(F.min("c_custkey")).first()[0]
+    return bfs.hops(settled(_whole_graph(spark, d), "edges"), f"c{first}")
+
+
 # signals
 
 
