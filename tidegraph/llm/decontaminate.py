@@ -2,7 +2,8 @@
 
 The benchmark's windows are few and checked to be few: beyond `most_bytes` of window
 text they are dealt into several broadcasts, each of which scans all documents, and
-the hits are united.  Documents are never shuffled for the scan.
+the hits are united by a row key, so that null and repeated ids stay rows of their own.
+Documents are never shuffled for the scan.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .shared import map_batches, pick, without
+from .shared import map_batches, pick, without, written
 
 WIDTH = 13
 #: Contaminated: hit words are at least one in so many.
@@ -144,15 +145,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, most_bytes: int = MOST_
     first, second = next(windows), next(windows, None)
     if second is None:
         totals = _scan(docs, first, True)
-    else:  # every row has its part of the hits in each scan; rows of one id and equal text have equal hits
-        tagged = pick(docs, "doc_id", "text").groupBy("doc_id", F.xxhash64("text").alias("h")).count()
-        if tagged.where("count > 1 or doc_id is null").limit(1).count() or tagged.groupBy("doc_id").count().where("count > 1").limit(1).count():
-            raise ValueError("a benchmark of several broadcasts needs unique document ids")
-        rows = _scan(docs, first, False).unionByName(_scan(docs, second, False))
+    else:  # every row has its part of the hits in each scan; the key is written, so that all scans see the same
+        keyed = written(pick(docs, "doc_id", "text").withColumn("__row", F.monotonically_increasing_id()), "scanned")
+        by_row = keyed.select(F.col("__row").alias("doc_id"), "text")
+        rows = _scan(by_row, first, False).unionByName(_scan(by_row, second, False))
         for w in windows:
-            rows = rows.unionByName(_scan(docs, w, False))
+            rows = rows.unionByName(_scan(by_row, w, False))
         found = rows.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("covered")).alias("covered"), F.flatten(F.collect_list("items")).alias("items"))
-        totals = map_batches(found, _totals, TOTALS)
+        hits = map_batches(found, _totals, TOTALS).withColumnRenamed("doc_id", "__row")
+        totals = keyed.select("__row", F.col("doc_id").cast("long")).join(hits, "__row").drop("__row")
     return totals.withColumn("contaminated", (F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words")))
 
 
