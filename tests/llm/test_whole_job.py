@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tests.llm import brute
-from tidegraph.llm import decontaminate
+from tidegraph.llm import decontaminate, licenses
 
 
 def test_contamination_of_many_parts_keeps_null_and_repeated_ids(spark):
@@ -17,3 +17,47 @@ def test_contamination_of_many_parts_keeps_null_and_repeated_ids(spark):
     for most in (decontaminate.MOST_BYTES, 300):
         assert sorted([tuple(r) for r in decontaminate.contamination(docs, bench, most_bytes=most).collect()], key=str) == expected
     assert any(x[0] is None and x[-1] for x in expected) and len(list(decontaminate._parts(bench, 300))) > 2
+
+
+MIT = (
+    'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, '
+    "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"
+)
+SENTENCE = "This file is part of the project and is released under the MIT License, see LICENSE for details."
+WRAPPED = "/*\n * This program is free software: you can\n * redistribute it and/or modify it under\n * the terms of the GNU General\n * Public License as published\n */\nint main() { return 0; }"
+BSD = "Copyright (c) 2001, A. All rights reserved. Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
+
+
+def test_licences_in_long_and_wrapped_lines(spark):
+    rows = [("m/LICENSE", MIT), ("m/a.py", "code"), ("s/b.py", SENTENCE), ("g/c.c", WRAPPED), ("b/COPYING", BSD), ("b/d.c", "x"), ("n/e.txt", "the program is free and may not use the file except under the work of all"), ("n/f.txt", " ".join(["word"] * 500))]
+    rows += [(f"z/{i}.txt", f"filler number {i} of the text") for i in range(200)]
+    files = spark.createDataFrame(rows, "path string, text string")
+    found = {r.path: (r.own_license, r.license) for r in licenses.license_scan(files).collect() if not r.path.startswith("z/")}
+    assert found == {
+        "m/LICENSE": ("MIT", "MIT"), "m/a.py": (None, "MIT"), "s/b.py": ("MIT", "MIT"), "g/c.c": ("GPL-3.0", "GPL-3.0"), "b/COPYING": ("BSD-3-Clause", "BSD-3-Clause"),
+        "b/d.c": (None, "BSD-3-Clause"), "n/e.txt": (None, None), "n/f.txt": (None, None),
+    }
+
+
+def test_runs_equal_all_runs():
+    """The search near heavy words finds what comparing every run finds."""
+    import random
+
+    draw = random.Random(1)
+    scanner = licenses.Scanner(licenses.TEMPLATES, 1000, {w: draw.randrange(500) for _, v in licenses.Scanner(licenses.TEMPLATES, 1, {}, 0.75).vectors for w in sorted(v)}, licenses.THRESHOLD)
+    lines = [x for of in licenses.TEMPLATES.values() for x in of]
+    hits = 0
+    for _ in range(300):
+        words = [draw.choice(["foo", "bar", "the", "of", "license", "all"]) for _ in range(draw.randrange(30))]
+        middle = [w for w in licenses._tokens(draw.choice(lines)) if draw.random() < 0.9]
+        at = draw.randrange(len(words) + 1)
+        words = words[:at] + middle + words[at:]
+        best = 0.0
+        for _, n, t in scanner.runs:
+            for a in range(max(1, len(words) - n + 1)):
+                v = scanner._unit(" ".join(words[a : a + n]))
+                best = max(best, sum(x * v[w] for w, x in t.items() if w in v))
+        found = scanner.run(words)[0]
+        assert abs(found - best) < 1e-8 if best >= licenses.THRESHOLD else found < licenses.THRESHOLD
+        hits += best >= licenses.THRESHOLD
+    assert hits > 100

@@ -4,6 +4,10 @@ Every line of a file is compared with every template.  A line can reach the thre
 only if it holds a heavy template word: without those, the rest of a template's weight
 is too small for any line.  So whole texts are searched for the heavy words, and only
 lines that hold one are scored.  Inverse document frequencies count all documents.
+
+Lines alone miss a notice that is part of a longer line or wrapped over several.  So each
+template is also compared with every run of as many words, wherever lines end; again only
+near the heavy words of that template.
 """
 
 from __future__ import annotations
@@ -49,13 +53,18 @@ class Scanner:
         self.rare = math.log((1 + n) / 1) + 1
         self.idf = {w: math.log((1 + n) / (1 + df.get(w, 0))) + 1 for lines in templates.values() for line in lines for w in _tokens(line)}
         self.vectors = [(name, self._unit(line)) for name, lines in sorted(templates.items()) for line in lines]
+        lengths = [len(_tokens(line)) for _, lines in sorted(templates.items()) for line in lines]
+        # longest first: of equal runs the longer template counts
+        self.runs = [(name, n, v) for n, (name, v) in sorted(zip(lengths, self.vectors, strict=True), key=lambda x: -x[0])]
+        self.near: dict[str, list[int]] = {}
         heavy = set()
-        for _, v in self.vectors:
+        for k, (_, _, v) in enumerate(self.runs):
             rest = 1.0
             for w, x in sorted(v.items(), key=lambda wx: (-wx[1], wx[0])):
                 if math.sqrt(max(rest, 0)) < threshold - 1e-9:
                     break
                 heavy.add(w)
+                self.near.setdefault(w, []).append(k)
                 rest -= x * x
         self.heavy = re.compile("|".join(rf"{re.escape(w)}" for w in sorted(heavy, key=lambda w: (-len(w), w))).encode())
 
@@ -75,8 +84,34 @@ class Scanner:
                 best, licence = cosine, name
         return best, licence
 
-    def text(self, raw: bytes) -> tuple[float, str | None]:
-        """The best line of a text; the earliest of equals."""
+    def _weight(self, w: str) -> float:
+        return self.idf.get(w, self.rare)
+
+    def run(self, words: list[str]) -> tuple[float, str | None]:
+        """The largest cosine of a template and a run of as many of the words (all, if there are fewer), and its licence."""
+        best, licence = 0.0, None
+        spots: dict[int, list[int]] = {}
+        for i, w in enumerate(words):
+            for k in self.near.get(w, ()):
+                spots.setdefault(k, []).append(i)
+        for k in sorted(spots):
+            name, n, t = self.runs[k]
+            last, done = max(0, len(words) - n), 0
+            for i in spots[k]:
+                around = t.keys() & set(words[max(0, i - n + 1) : i + n])
+                if sum(t[w] * t[w] for w in around) < (self.threshold - 1e-9) ** 2:
+                    continue
+                first, done = max(done, i - n + 1, 0), min(i, last) + 1
+                for a in range(first, done):
+                    count = Counter(words[a : a + n])
+                    dot = sum(c * self._weight(w) * t[w] for w, c in count.items() if w in t)
+                    cosine = dot / math.sqrt(sum((c * self._weight(w)) ** 2 for w, c in count.items()))
+                    if cosine > best + 1e-9:
+                        best, licence = cosine, name
+        return best, licence
+
+    def text(self, raw: bytes, runs: bool = False) -> tuple[float, str | None]:
+        """The best line of a text, the earliest of equals; with runs, a run of its words if that is better."""
         lower = raw.translate(bytes(T.LOWER))
         best, licence, at = 0.0, None, 0
         while m := self.heavy.search(lower, at):
@@ -87,6 +122,10 @@ class Scanner:
             if cosine > best + 1e-12:
                 best, licence = cosine, name
             at = z
+        if runs and best < 1 - 1e-9 and self.heavy.search(lower):
+            cosine, name = self.run(_TOKEN.findall(lower.decode(errors="replace")))
+            if cosine > best + 1e-9:
+                best, licence = cosine, name
         return (best, licence) if best >= self.threshold else (0.0, None)
 
 
@@ -110,15 +149,18 @@ def _frequencies(files: DataFrame, vocabulary: list[str]) -> tuple[int, dict[str
     return found.get(-1, 0), {w: found.get(i, 0) for i, w in enumerate(vocabulary)}
 
 
-def scan(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """path, own_license, similarity of every row of files (path, text); null and 0 if no line reaches the threshold."""
+def scan(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshold: float = THRESHOLD, runs: bool = False) -> DataFrame:
+    """path, own_license, similarity of every row of files (path, text); null and 0 if nothing reaches the threshold.
+
+    Compared are lines, and with `runs` also runs of words within and across lines.
+    """
     rows = pick(files, "path", "text")
     vocabulary = sorted({w for lines in templates.values() for line in lines for w in _tokens(line)})
     shared = rows.sparkSession.sparkContext.broadcast(Scanner(templates, *_frequencies(rows, vocabulary), threshold))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [shared.value.text((t or "").encode()) for t in b.column(1).to_pylist()]
+            found = [shared.value.text((t or "").encode(), runs) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x[1] for x in found], pa.string()), pa.array([x[0] for x in found], pa.float64())], names=["path", "own_license", "similarity"])
 
     return map_batches(rows, run, "path string, own_license string, similarity double")
@@ -151,11 +193,11 @@ def inherit(scanned: DataFrame, licence_files: str = LICENCE_FILE) -> DataFrame:
 
 
 def license_scan(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshold: float = THRESHOLD, licence_files: str = LICENCE_FILE) -> DataFrame:
-    """scan and inherit over files (path, text).
+    """scan, with runs of words, and inherit over files (path, text).
 
     Null and empty texts have no licence of their own (similarity 0) but inherit; rows
     without a path keep their own licence and inherit nothing; repeated rows stay repeated;
     of equally near licence files the smallest path counts; an empty table gives an empty
     result.
     """
-    return inherit(written(scan(files, templates, threshold), "licenses"), licence_files)
+    return inherit(written(scan(files, templates, threshold, runs=True), "licenses"), licence_files)
