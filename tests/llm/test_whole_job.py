@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tests.llm import brute
-from tidegraph.llm import decontaminate, licenses
+from tidegraph.llm import decontaminate, langid, licenses
 
 
 def test_contamination_of_many_parts_keeps_null_and_repeated_ids(spark):
@@ -61,3 +61,16 @@ def test_runs_equal_all_runs():
         assert abs(found - best) < 1e-8 if best >= licenses.THRESHOLD else found < licenses.THRESHOLD
         hits += best >= licenses.THRESHOLD
     assert hits > 100
+
+
+def test_lettered_documents_stay_if_no_language_is_learnt(spark):
+    rows = [(1, "some text", None), (2, "12 34", None), (3, None, None), (4, "\u4e2d\u6587", None), (None, "more", None), (5, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(str(r.doc_id) for r in langid.with_language(docs).collect()) == ["1", "4", "None"]
+
+
+def test_least_coverage_lets_the_filters_decide(spark):
+    rows = [(i, "the quick brown fox and the lazy dog of the town", "en") for i in range(40)] + [(100, "zxqv kjwp vvqz xkcd", None), (101, "77", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = [{r.doc_id for r in langid.with_language(docs, least).collect()} for least in (0.0, 0.2)]
+    assert 100 in kept[0] and kept[0] - kept[1] == {100} and 101 not in kept[0]

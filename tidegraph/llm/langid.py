@@ -183,7 +183,17 @@ def language_id(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", F.coalesce(held_out(4, 2), F.lit(False)).alias("held_out"), "lang_pred", "score", "coverage")
 
 
-def with_language(docs: DataFrame) -> DataFrame:
-    """docs whose text has a language: rows of `und` go (null texts, texts without a letter); rows without doc_id stay if they have a text."""
-    bad = predict(docs, learn(train_rows(docs))).where("lang_pred = 'und' and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
+def with_language(docs: DataFrame, least_coverage: float = 0.0) -> DataFrame:
+    """docs whose text has a language; rows without doc_id stay if they have a text.
+
+    Null texts, texts without a letter and, where the model has languages, texts of less
+    than `least_coverage` go.  At 0, texts of unknown n-grams stay; without any language
+    learnt, all texts with a letter do.
+    """
+    model = learn(train_rows(docs))
+    if model.langs:
+        found = predict(docs, model).where((F.col("lang_pred") == "und") | (F.col("coverage") < least_coverage))
+    else:
+        found = pick(docs, "doc_id", "text").where(~F.col("text").rlike(r"\p{L}"))
+    bad = found.where("doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
     return without(numbered(docs).where(column(docs, "text").isNotNull()).toDF(*docs.columns), bad)
