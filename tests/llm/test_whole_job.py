@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tests.llm import brute
-from tidegraph.llm import decontaminate, langid, licenses
+from tidegraph.llm import decontaminate, langid, licenses, nearest
 
 
 def test_contamination_of_many_parts_keeps_null_and_repeated_ids(spark):
@@ -74,3 +74,12 @@ def test_least_coverage_lets_the_filters_decide(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     kept = [{r.doc_id for r in langid.with_language(docs, least).collect()} for least in (0.0, 0.2)]
     assert 100 in kept[0] and kept[0] - kept[1] == {100} and 101 not in kept[0]
+
+
+def test_nearest_keeps_different_vectors_of_one_id(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [5.0, 1.0]), (1, [1.0, 7.0]), (2, [2.0, 2.5]), (3, [4.0, 0.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    pairs = sorted((-(a * x + b * y), c) for q, (a, b) in rows if q == 0 for c, (x, y) in rows if c != 0)
+    for k, block in ((3, None), (20, 2)):
+        found = sorted((r.rank, r.vec_id, r.score) for r in nearest.nearest(df, k=k, block=block).collect())
+        assert found == [(i + 1, c, -s) for i, (s, c) in enumerate(pairs[:k])]

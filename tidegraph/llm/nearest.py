@@ -104,12 +104,14 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, block: int | None
 
     Queries are the rows whose vec_id is divisible by `every`, candidates every other row
     of the same dimension.  Vectors that are null, empty, zero or hold a null or non-finite
-    component take no part, nor rows without vec_id; of rows that repeat a vec_id the one
-    of the largest bytes counts.  An empty table gives an empty result.
+    component take no part, nor rows without vec_id.  Different vectors under one vec_id are
+    rows of their own: each is a candidate of the other ids, and a repeated query has the k
+    best of all its rows' pairs.  Equal copies under one vec_id count once.  An empty table
+    gives an empty result.
     """
     kind = "<f8" if "double" in dict(vectors.dtypes)["embedding"] else "<f4"
     rows = map_batches(pick(vectors, "vec_id", "embedding"), _usable, "vec_id long, dim int, vector binary")
-    rows = written(rows.groupBy("vec_id").agg(F.max(F.struct("dim", "vector")).alias("x")).select("vec_id", "x.dim", "x.vector"), "vectors")
+    rows = written(rows.distinct(), "vectors")
     is_query = F.col("vec_id") % every == 0
     n, m, dim = rows.agg(F.count("vec_id"), F.count_if(is_query), F.max("dim")).first()
     block = block or max(1, min(max(BLOCK, n // BLOCKS), COMPONENTS // (dim or 1)))
@@ -117,7 +119,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, block: int | None
 
     def dealt(df: DataFrame, own: int, other: int, query: bool) -> DataFrame:
         """Each vector once in each tile of its block."""
-        mine = F.pmod(F.xxhash64("vec_id"), F.lit(own))
+        mine = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(own))
         tiles = F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias("o")
         at = (F.col("mine") * other + F.col("o")) if query else (F.col("o") * own + F.col("mine"))
         return df.select("vec_id", "dim", "vector", mine.alias("mine"), tiles).select("dim", at.alias("tile"), "vec_id", "vector")
