@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from tests.llm import brute
-from tidegraph.llm import decontaminate, langid, licenses, nearest
+from tests.parity import compare, duck
+from tidegraph.llm import decontaminate, langid, licenses, nearest, queries
 
 
 def test_contamination_of_many_parts_keeps_null_and_repeated_ids(spark):
@@ -83,3 +84,10 @@ def test_nearest_keeps_different_vectors_of_one_id(spark):
     for k, block in ((3, None), (20, 2)):
         found = sorted((r.rank, r.vec_id, r.score) for r in nearest.nearest(df, k=k, block=block).collect())
         assert found == [(i + 1, c, -s) for i, (s, c) in enumerate(pairs[:k])]
+
+
+def test_license_query_inherits_from_both_levels(spark, medium):
+    found = queries.QUERIES["op4_license_ancestors"](spark, medium).cache()
+    compare(found, duck(medium), queries.ORACLE_SQL["op4_license_ancestors"])
+    depths = {(r.path.count("/"), r.inherited_from.count("/")) for r in found.where("inherited_from is not null").collect()}
+    assert {(3, 1), (3, 3)} <= depths

@@ -33,6 +33,21 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.regexp_extract("path", r"([0-9]+)\.txt$", 1).cast("long").alias("doc_id"), "path", "own_license", F.round("similarity", 9).alias("similarity"), "license", "inherited_from")
 
 
+def op4_license_ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op4_license_scan with licence files on two levels, from documents that mention a licence anywhere.
+
+    Of these, SOURCE/LICENSE.ID.txt if doc_id modulo 3 is 0, SOURCE/LANG/PART/LICENSE.ID.txt if 1; all other
+    documents are SOURCE/LANG/PART/ID.txt, PART being doc_id modulo 16.
+    """
+    docs = table(spark, sf_dir, "documents")
+    file = F.coalesce(F.col("text").rlike("(?i)licen[cs]e|rights reserved") & (F.col("doc_id") % 3 < 2), F.lit(False))
+    source, lang, name = F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))
+    own = F.concat_ws("/", source, lang, (F.col("doc_id") % 16).cast("string"))
+    path = F.when(file, F.concat(F.when(F.col("doc_id") % 3 == 0, source).otherwise(own), F.lit("/LICENSE."), name)).otherwise(F.concat(own, F.lit("/"), name))
+    found = licenses.license_scan(docs.select(path.alias("path"), "text"))
+    return found.select(F.regexp_extract("path", r"([0-9]+)\.txt$", 1).cast("long").alias("doc_id"), "path", "own_license", F.round("similarity", 9).alias("similarity"), "license", "inherited_from")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
@@ -65,7 +80,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_nearest_neighbours, op2_language_id, op3_token_files, op4_license_scan, op5_token_counts, op6_decontamination, op7_substring_dedup, op8_simhash, op9_quality, op10_packing, pipeline)
+    for f in (op1_nearest_neighbours, op2_language_id, op3_token_files, op4_license_scan, op4_license_ancestors, op5_token_counts, op6_decontamination, op7_substring_dedup, op8_simhash, op9_quality, op10_packing, pipeline)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -106,6 +121,18 @@ SELECT f.doc_id, f.dir || '/' || f.file AS path, f.name AS own_license, round(f.
 """
 
 
+def _op4_ancestors() -> str:
+    """_op4's lines and templates; each document takes the deepest of its ancestors that has a licence file."""
+    scored = _op4().split("\nf AS (")[0]
+    return f"""{scored}
+f AS (SELECT doc_id, CASE WHEN leads AND doc_id % 3 = 0 THEN source ELSE source || '/' || lang || '/' || doc_id % 16 END AS dir, CASE WHEN leads THEN 'LICENSE.' ELSE '' END || doc_id || '.txt' AS file, name, s
+  FROM (SELECT d.doc_id, coalesce(source, 'none') AS source, coalesce(lang, 'none') AS lang, coalesce(regexp_matches(lower(text), 'licen[cs]e|rights reserved') AND doc_id % 3 < 2, false) AS leads, name, coalesce(s, 0) AS s FROM documents d LEFT JOIN best USING (doc_id))),
+own AS (SELECT dir, min(dir || '/' || file) AS path, arg_min(name, dir || '/' || file) AS name FROM f WHERE file LIKE 'LICENSE.%' AND name IS NOT NULL GROUP BY 1),
+near AS (SELECT f.doc_id, arg_max(own.path, length(own.dir)) AS path, arg_max(own.name, length(own.dir)) AS name FROM f JOIN own ON f.dir = own.dir OR starts_with(f.dir, own.dir || '/') GROUP BY 1)
+SELECT f.doc_id, f.dir || '/' || f.file AS path, f.name AS own_license, round(f.s, 9) AS similarity, coalesce(f.name, near.name) AS license, CASE WHEN f.name IS NULL THEN near.path END AS inherited_from FROM f LEFT JOIN near USING (doc_id)
+"""
+
+
 _OP6_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 OP6 = f"""
@@ -131,4 +158,4 @@ kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FRO
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_nearest_neighbours": OP1, "op4_license_scan": _op4(), "op6_decontamination": OP6, "op7_substring_dedup": OP7}
+ORACLE_SQL: dict[str, str] = {"op1_nearest_neighbours": OP1, "op4_license_scan": _op4(), "op4_license_ancestors": _op4_ancestors(), "op6_decontamination": OP6, "op7_substring_dedup": OP7}
