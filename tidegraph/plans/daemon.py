@@ -89,10 +89,11 @@ class Daemon:
 
     def run(self) -> Stats:
         c, last = self.config, {}
+        sources = self.sources if c.nip65_fallback_enabled else Sources(self.sources.lists)
         self.alive = True
         try:
             while not self.stop.is_set():
-                done = crawl(self.store, public_key(c.anchor_pubkey), self.sources, lambda: int(self.clock()), batch=c.batch_size * c.concurrency, stop=self.stop.is_set, most=c.max_attempts, k=c.nip65_max_write_relays)
+                done = crawl(self.store, public_key(c.anchor_pubkey), sources, lambda: int(self.clock()), batch=c.batch_size * c.concurrency, stop=self.stop.is_set, most=c.max_attempts, k=c.nip65_max_write_relays)
                 self.stats = Stats(self.stats.reclaimed + done.reclaimed, self.stats.claimed + done.claimed, self.stats.waves + done.waves)
                 if self.due(last, "refresh", min(c.staleness_scan_interval, c.reclaim_interval)):
                     refresh(self.store, int(self.clock()), int(c.ttl), int(c.reclaim_age))
