@@ -26,10 +26,14 @@ def with_signature_check(events: DataFrame, name: str = "valid") -> DataFrame:
     """events and whether id and signature hold.
 
     The only Python in the pipeline.  Equal rows (one event from many relays) are
-    verified once: distinct on all columns but the relay is safe before verification.
+    verified once: grouping by all columns but the relay is safe before verification,
+    and each copy comes back with the verdict.
     """
     ship(events.sparkSession)
-    own = [c for c in events.columns if c != "relay_url"]
+    columns, own = events.columns, [c for c in events.columns if c != "relay_url"]
+    if "relay_url" in columns:
+        # structs, as a list of the relays alone would lose the null ones
+        events = events.groupBy(*own).agg(F.collect_list(F.struct("relay_url")).getField("relay_url").alias("__relays"))
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -37,7 +41,10 @@ def with_signature_check(events: DataFrame, name: str = "valid") -> DataFrame:
             yield b
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in events.schema.fields)
-    return events.mapInPandas(check, f"{fields}, `{name}` boolean")
+    checked = events.mapInPandas(check, f"{fields}, `{name}` boolean")
+    if "relay_url" in columns:
+        checked = checked.withColumn("relay_url", F.explode("__relays")).select(*columns, name)
+    return checked
 
 
 def verified(events: DataFrame) -> DataFrame:
