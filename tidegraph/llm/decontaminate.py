@@ -93,19 +93,18 @@ def _scan(docs: DataFrame, windows: Windows, only: bool) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = shared.value
+        overlap = max(windows.of, default=1) - 1
         for b in batches:
-            counts, covered, items = np.zeros(len(b), np.int64), [[] for _ in range(len(b))], [set() for _ in range(len(b))]
-            for row, data, offsets in T.slices(b.column(1)):
-                data = T.LOWER[data]
-                starts, ends, first = T.words(data, offsets, T.ALNUM)
-                counts[row : row + len(first) - 1] = np.diff(first)
+            counts, items = np.zeros(len(b), np.int64), [set() for _ in range(len(b))]
+            spans: dict[int, list[tuple[int, int]]] = defaultdict(list)
+            for row, data, starts, ends, first, base in T.pieces(b.column(1), T.ALNUM, overlap, T.LOWER):
+                counts[row : row + len(first) - 1] += np.diff(first) - (overlap if base else 0)
                 rows = np.repeat(np.arange(len(first) - 1), np.diff(first))
-                spans = defaultdict(list)
                 for i, width, of in windows.hits(data, starts, ends, rows, T.word_hashes(data, starts, ends)):
-                    spans[rows[i]].append((i - first[rows[i]], i - first[rows[i]] + width))
+                    at = int(i - first[rows[i]]) + (base or 0)
+                    spans[row + int(rows[i])].append((at, at + width))
                     items[row + rows[i]] |= of
-                for k, v in spans.items():
-                    covered[row + k] = [x for span in united(v) for x in span]
+            covered = [[x for span in united(spans[i]) for x in span] if i in spans else [] for i in range(len(b))]
             found = pa.RecordBatch.from_arrays([b.column(0), pa.array(counts), pa.array(covered, pa.list_(pa.int32())), pa.array([sorted(x) for x in items], pa.list_(pa.string()))], names=["doc_id", "n_words", "covered", "items"])
             yield from _totals(iter([found])) if only else [found]
 
