@@ -7,8 +7,10 @@ vectors, q', c' their quantised forms and e = |q - q'|, f = |c - c'| the errors,
     |q.c - q'.c'| <= |q'| f + e |c'| + e f.
 
 A pair survives if its upper bound reaches the k-th largest lower bound of its query in
-the tile.  Survivors are recomputed in double precision on the original vectors, and
-heaps merge the tiles' k best.  So nothing is lost: the result is exact.
+the tile.  Bounds are of vectors scaled by powers of two (each query by its own, the
+candidates of a tile by one), so that no finite component overflows; what underflows is
+covered by a slack.  Survivors are recomputed in double precision on the original
+vectors, and heaps merge the tiles' k best.  So nothing is lost: the result is exact.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,11 +39,20 @@ BEST = "query_id long, vec_id long, score double"
 
 def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """int8 codes, scales, norms of the quantised vectors and norms of the errors."""
-    scale = np.abs(x).max(axis=1) / 127
-    scale = np.where(scale > 0, scale, 1)
-    codes = np.rint(x / scale[:, None]).astype(np.int8)
-    near = codes * scale[:, None]
-    return codes, scale, np.linalg.norm(near, axis=1), np.linalg.norm(x - near, axis=1)
+    most = np.abs(x).max(axis=1, initial=0)
+    most = np.where(most > 0, most, 1)
+    unit = x / most[:, None]  # so that no square underflows
+    codes = np.rint(unit * 127).astype(np.int8)
+    near = codes / 127.0
+    return codes, most / 127, np.linalg.norm(near, axis=1) * most, np.linalg.norm(unit - near, axis=1) * most
+
+
+def scaled(x: np.ndarray, each: bool) -> tuple[np.ndarray, np.ndarray]:
+    """x times a power of two, of each row or of all, that brings the largest component under 1; and the exponents."""
+    exponent = np.frexp(np.abs(x).max(axis=1, initial=0))[1].astype(np.int64)
+    if not each:
+        exponent = np.full_like(exponent, exponent.max(initial=-1100))
+    return np.ldexp(x, -exponent[:, None]), exponent
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -51,26 +63,37 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def ranked(score: np.ndarray) -> np.ndarray:
+    """Scores to rank by: one that is no number, as infinities of both signs met in its sum, comes last."""
+    return np.where(np.isnan(score), -np.inf, score)
+
+
 def inner(q: np.ndarray, r: np.ndarray, c: np.ndarray, s: np.ndarray) -> np.ndarray:
     """q[r].c[s] for each pair, added up in the order of the components, so that equal vectors give equal scores anywhere."""
     out = np.zeros(len(r))
-    for i in range(0, len(r), PAIRS):
-        at = slice(i, i + PAIRS)
-        for j in range(q.shape[1]):
-            out[at] += q[r[at], j] * c[s[at], j]
+    with np.errstate(over="ignore", invalid="ignore"):
+        for i in range(0, len(r), PAIRS):
+            at = slice(i, i + PAIRS)
+            for j in range(q.shape[1]):
+                out[at] += q[r[at], j] * c[s[at], j]
     return out
 
 
 def tile(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(query ids, candidate ids, scores) of the k best candidates in the tile of each query."""
-    qc, qs, qn, qe = quantised(q)
-    cc, cs, cn, ce = quantised(c)
+    (q1, power), (c1, to) = scaled(q, True), scaled(c, False)
+    qc, qs, qn, qe = quantised(q1)
+    cc, cs, cn, ce = quantised(c1)
     slack = 1 + 1e-9
+    # what underflows, here or in the scores; where scores may overflow, all candidates survive
+    power = power + to[0]
+    with np.errstate(over="ignore"):
+        lost = np.where(power > 1020 - q.shape[1].bit_length(), np.inf, q.shape[1] * (2.0**-1000 + np.ldexp(1.0, -1074 - power)))
     step = max(1, PRODUCTS // len(c))
     for i in range(0, len(q), step):
         rows = slice(i, i + step)
         near = products(qc[rows], cc) * qs[rows, None] * cs[None, :]
-        error = (qn[rows, None] * ce + qe[rows, None] * (cn + ce)) * slack + 1e-12 * (qn[rows, None] + qe[rows, None]) * (cn + ce)
+        error = (qn[rows, None] * ce + qe[rows, None] * (cn + ce)) * slack + 1e-12 * (qn[rows, None] + qe[rows, None]) * (cn + ce) + lost[rows, None]
         low, high = near - error, near + error
         own = qid[rows, None] == cid[None, :]
         low[own], high[own] = -np.inf, -np.inf
@@ -80,7 +103,7 @@ def tile(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int)
         else:
             r, s = np.nonzero(~own)
         score = inner(q[rows], r, c, s)
-        order = np.lexsort((cid[s], -score, r))
+        order = np.lexsort((cid[s], -ranked(score), r))
         r, s, score = r[order], s[order], score[order]
         start = np.searchsorted(r, np.arange(r[-1] + 1 if len(r) else 0))
         keep = np.arange(len(r)) - start[r] < k
@@ -90,13 +113,19 @@ def tile(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int)
 def _usable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(vec_id, dimension, vector as bytes of float64 or float32) of vectors that take part."""
     for b in batches:
-        out = []
-        for i, v in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            if i is not None and v.is_valid and len(v) and not v.values.null_count:
-                x = v.values.to_numpy()
-                if np.isfinite(x).all() and x.any():
-                    out.append((i, len(x), x.astype(x.dtype.newbyteorder("<")).tobytes()))
-        yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], t) for j, t in enumerate((pa.int64(), pa.int32(), pa.binary()))], names=["vec_id", "dim", "vector"])
+        lists = b.column(1)
+        size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = lists.flatten()
+        ends = np.cumsum(size)
+        x = flat.fill_null(float("nan")).to_numpy(zero_copy_only=False)
+        x = x.astype(x.dtype.newbyteorder("<"), copy=False)
+        good = np.concatenate([[0], np.cumsum(np.isfinite(x))])
+        some = np.concatenate([[0], np.cumsum(x != 0)])
+        start = ends - size
+        takes = (good[ends] - good[start] == size) & (some[ends] > some[start]) & b.column(0).is_valid().to_numpy(zero_copy_only=False)
+        at, raw, width = np.flatnonzero(takes), x.tobytes(), x.dtype.itemsize
+        vectors = [raw[a:z] for a, z in zip((start[at] * width).tolist(), (ends[at] * width).tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), pa.array(size[at].astype(np.int32)), pa.array(vectors, pa.binary())], names=["vec_id", "dim", "vector"])
 
 
 def nearest(vectors: DataFrame, every: int = 20, k: int = 20, block: int | None = None) -> DataFrame:
@@ -138,7 +167,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, block: int | None
         def out() -> pa.RecordBatch:
             best = sorted(heap, reverse=True)
             return pa.RecordBatch.from_arrays(
-                [pa.array([now] * len(best), pa.int64()), pa.array(range(1, len(best) + 1), pa.int32()), pa.array([-x[1] for x in best], pa.int64()), pa.array([x[0] for x in best], pa.float64())], names=["query_id", "rank", "vec_id", "score"]
+                [pa.array([now] * len(best), pa.int64()), pa.array(range(1, len(best) + 1), pa.int32()), pa.array([-x[1] for x in best], pa.int64()), pa.array([x[2] for x in best], pa.float64())], names=["query_id", "rank", "vec_id", "score"]
             )
 
         for b in batches:
@@ -147,10 +176,12 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, block: int | None
                     if heap:
                         yield out()
                     now, heap = query, []
+                score = float("nan") if score is None else score  # pandas made it null
+                entry = (float("-inf") if score != score else score, -vec, score)
                 if len(heap) < k:
-                    heapq.heappush(heap, (score, -vec))
+                    heapq.heappush(heap, entry)
                 else:
-                    heapq.heappushpop(heap, (score, -vec))
+                    heapq.heappushpop(heap, entry)
         if heap:
             yield out()
 
