@@ -22,13 +22,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .shared import fresh, map_batches, pick
+from .shared import fresh, map_batches, pick, written
 
 MANIFEST = "part int, name string, docs long, tokens long, width int"
 #: Rows and tokens that are read back at once.
 READ_ROWS, READ_TOKENS = 4096, 4 << 20
-#: Uncompressed text that a shard should hold.
-SHARD_BYTES = 24 << 20
+#: Uncompressed text that a shard should hold at least, and how many shards there are at most: beyond, shards grow.
+SHARD_BYTES, SHARDS = 24 << 20, 16_384
 NULL_ID = -(1 << 63)
 
 
@@ -43,20 +43,34 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str = "word_bpe_
     Each attempt of a task writes under its own name, and only the names that finished
     tasks return are in the manifest, so a lost executor leaves at most unread files.
     Null texts are empty documents (the end id alone); rows without doc_id come first,
-    under the smallest 64-bit integer; repeated rows are separate documents, in any order
-    among equals with the shorter first.
+    under the smallest 64-bit integer; repeated rows are separate documents, the shorter
+    first; of an id that fills several shards, the shorter first within each.
     """
     spark = docs.sparkSession
     files, root = _store(folder)
     files.create_dir(root, recursive=True)
 
+    rows = pick(docs, "doc_id", "text")
+    size = rows.agg(F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 64)).first()[0] or 0
+    shards = max(1, min(SHARDS, -(-size // SHARD_BYTES)))
+    bounds = np.empty(0, np.int64)
+    if shards > 1:  # an id that stands at several bounds is dealt over the shards between them
+        at = F.percentile_approx(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), [i / shards for i in range(1, shards)], max(10_000, 8 * shards))
+        bounds = np.array(rows.agg(at).first()[0], dtype=np.int64)
+    hot = len(np.unique(bounds)) < len(bounds)
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens.encoder(tokens.path(vocabulary))
         end = np.array([end_id], dtype=encoder.dtype).tobytes()
+        turn = 0
         for b in batches:
+            doc = b.column(0).cast(pa.int64()).fill_null(NULL_ID).to_numpy(zero_copy_only=False)
+            low, high = (np.searchsorted(bounds, doc, side=s) for s in ("left", "right"))
+            part = low + (turn + np.arange(len(doc))) % (high - low + 1) if hot else low
+            turn += len(doc)
             for row, texts in tokens.balanced(b.column(1)):
                 ids = pa.array([x + end for x in encoder.encode(texts)], pa.binary())
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(row, len(texts)), ids], names=["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(row, len(texts)), ids, pa.array(part[row : row + len(texts)].astype(np.int32))], names=["doc_id", "ids", "part"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = _store(folder)
@@ -78,28 +92,14 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str = "word_bpe_
         if len(index):
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([name]), pa.array([len(index)]), pa.array([total]), pa.array([width], pa.int32())], names=["part", "name", "docs", "tokens", "width"])
 
-    rows = pick(docs, "doc_id", "text")
-    size = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    bounds = [] if size <= SHARD_BYTES else rows.where("doc_id is not null").agg(F.percentile_approx("doc_id", [i / -(-size // SHARD_BYTES) for i in range(1, -(-size // SHARD_BYTES))], 10_000)).first()[0] or []
-    bounds = sorted(set(bounds))
-    part = F.expr(_search(bounds)) if bounds else F.lit(0)
-    dealt = map_batches(rows, encode, "doc_id long, ids binary", tokens=True).withColumn("part", part).repartitionById(len(bounds) + 1, F.col("part"))
+    encoded = map_batches(rows, encode, "doc_id long, ids binary, part int", tokens=True)
+    if hot:  # which shard a row takes hangs on its turn: written, it stays so if a task runs again
+        encoded = written(encoded, "encoded")
+    dealt = encoded.repartitionById(shards, F.col("part"))
     sorted_rows = dealt.sortWithinPartitions("doc_id", F.length("ids")).select("doc_id", "ids")
-    shards = sorted(map_batches(sorted_rows, write, MANIFEST).collect(), key=lambda r: r["part"])
-    bases = [0, *accumulate(r["tokens"] for r in shards)]
-    return spark.createDataFrame([(*r, base) for r, base in zip(shards, bases, strict=False)], MANIFEST + ", base long")
-
-
-def _search(bounds: list[int]) -> str:
-    """SQL for how many of the sorted bounds lie under doc_id, by halving."""
-
-    def half(lo: int, hi: int) -> str:
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi) // 2
-        return f"if(doc_id > {bounds[mid]}, {half(mid + 1, hi)}, {half(lo, mid)})"
-
-    return f"coalesce({half(0, len(bounds))}, 0)"
+    found = sorted(map_batches(sorted_rows, write, MANIFEST).collect(), key=lambda r: r["part"])  # one row a shard
+    bases = [0, *accumulate(r["tokens"] for r in found)]
+    return spark.createDataFrame([(*r, base) for r, base in zip(found, bases, strict=False)], MANIFEST + ", base long")
 
 
 class TokenShard:

@@ -29,6 +29,8 @@ LITTLE = sys.byteorder == "little"
 MEMO, PARTS = 300_000, 200_000
 #: Pieces longer than this are encoded but not kept.
 LONG = 64
+#: Characters of a text that are worked on at once, as far as there are places to cut.
+CHUNK = 1 << 20
 
 #: Where a text can be cut whatever its other white space: no token of the byte vocabulary spans these places.
 _SAFE = re.compile(r"(?<=[0-9A-Za-z])(?= [0-9A-Za-z])")
@@ -131,14 +133,27 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of `dtype`."""
-        get = self.memo.__getitem__
-        return [self._odd(t) if c is None else b"".join(map(get, c)) for t, c in ((t, self._pieces(t)) for t in texts)]
+        return [self._encoded(t) if len(t) <= CHUNK else b"".join(map(self._encoded, _chunks(t))) for t in texts]
+
+    def _encoded(self, text: str) -> bytes:
+        pieces = self._pieces(text)
+        return self._odd(text) if pieces is None else b"".join(map(self.memo.__getitem__, pieces))
 
     def _odd(self, text: str) -> bytes:
         parts = [p for p in _SAFE.split(text) if p]
         return b"".join(self._ids(e.ids) for e in self.library.encode_batch_fast(parts, add_special_tokens=False))
 
 
+def _chunks(text: str) -> Iterable[str]:
+    """A long text in parts that no token spans."""
+    at = 0
+    while at < len(text):
+        m = _SAFE.search(text, at + CHUNK)
+        stop = m.start() if m else len(text)
+        yield text[at:stop]
+        at = stop
+
+
 _encoders: dict[str, Encoder] = {}
 
 
