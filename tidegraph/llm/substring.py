@@ -18,6 +18,7 @@ bounded by `SKETCH_BITS`; beyond it, more rows pass the filter but none is lost.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,13 +34,17 @@ WIDTH = 35
 ANCHOR = 18
 #: Rows of the sketch.
 DEPTH = 2
+#: Words of a run have so many places at most.
+PLACE_BITS = 20
 #: The sketch has up to 2 ** SKETCH_BITS cells a row: a bitmap of 64 MB.
 SKETCH_BITS = 29
 #: Cells of one merged block.
 BLOCK_BITS = 16
-#: Anchor occurrences that one lot should hold.
-LOT = 500
-MERGED = "line int, block int, cells binary, heavy array<int>, counts array<int>"
+#: Anchor occurrences that one lot should hold, at least; lots grow so that at most HEAVY cells a row exceed one.
+LOT, HEAVY = 500, 1 << 21
+#: Spans (a document counts as two) that are broadcast at most: about 16 MB.
+FEW_SPANS = 400_000
+MERGED = "line int, block int, cells binary, heavy binary, counts binary"
 RUNS = "anchor long, lot int, doc_id long, of long, first int, keys binary"
 FOUND = "doc_id long, of long, first int, end int, anchor long, key long, sure boolean"
 
@@ -50,7 +55,7 @@ def anchored(hashes: np.ndarray, rows: np.ndarray, width: int, anchor: int) -> t
     if n <= 0:
         return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64),) * 2
     short = T.rolling(hashes, anchor, 1)
-    place = np.uint64((1 << len(hashes).bit_length()) - 1)
+    place = np.uint64((1 << PLACE_BITS) - 1)  # the same for all runs, so that equal windows have equal anchors
     lowest = T.sliding((short & ~place) | np.arange(len(short), dtype=np.uint64), width - anchor + 1, np.minimum) & place
     valid = rows[:n] == rows[width - 1 :]
     new = np.ones(n, dtype=bool)
@@ -66,14 +71,14 @@ def _cells(anchors: np.ndarray, line: int, bits: int) -> np.ndarray:
 
 
 def _runs(texts: pa.Array, width: int, anchor: int) -> Iterator[tuple]:
-    for row, data, offsets in T.slices(texts):
-        starts, ends, first = T.words(data, offsets, T.NON_SPACE)
+    """(first row, words before the piece, first word of each row, row of each word, *anchored) of runs of rows and pieces of long texts."""
+    for row, data, starts, ends, first, base in T.pieces(texts, T.NON_SPACE, width - 1):
         rows = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        yield row, first, rows, *anchored(T.word_hashes(data, starts, ends), rows, width, anchor)
+        yield row, base or 0, first, rows, *anchored(T.word_hashes(data, starts, ends), rows, width, anchor)
 
 
-def _sketch(docs: DataFrame, bits: int, width: int, anchor: int) -> DataFrame:
-    """The merged sketch by block: a bit for each cell counted twice or more, and the cells beyond LOT with their counts."""
+def _sketch(docs: DataFrame, bits: int, width: int, anchor: int, lot: int) -> DataFrame:
+    """The merged sketch by block: a bit for each cell counted twice or more, and the cells beyond `lot` with their counts."""
     block_bits = min(BLOCK_BITS, bits)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,11 +121,10 @@ def _sketch(docs: DataFrame, bits: int, width: int, anchor: int) -> DataFrame:
         at, count = None, np.zeros(1 << block_bits, dtype=np.int64)
 
         def out() -> pa.RecordBatch:
-            heavy = np.flatnonzero(count > LOT)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([at[0]], pa.int32()), pa.array([at[1]], pa.int32()), pa.array([np.packbits(count > 1, bitorder="little").tobytes()], pa.binary()), pa.array([heavy.tolist()], pa.list_(pa.int32())), pa.array([np.minimum(count[heavy], 1 << 30).tolist()], pa.list_(pa.int32()))],
-                names=["line", "block", "cells", "heavy", "counts"],
-            )
+            heavy = np.flatnonzero(count > lot)
+            row = [at[0], at[1], np.packbits(count > 1, bitorder="little").tobytes(), heavy.astype("<i4").tobytes(), np.minimum(count[heavy], 1 << 30).astype("<i4").tobytes()]
+            kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], names=["line", "block", "cells", "heavy", "counts"])
 
         for b in batches:
             for line, block, cells, more in zip(*(c.to_pylist() for c in b.columns), strict=True):
@@ -142,19 +146,21 @@ def _sketch(docs: DataFrame, bits: int, width: int, anchor: int) -> DataFrame:
 class Sketch:
     """Cells counted twice or more, a bitmap a line, and the heavy cells of each line with their counts."""
 
-    def __init__(self, rows: Iterator, bits: int):
-        self.bits = bits
+    def __init__(self, rows: Iterator, bits: int, lot: int):
+        self.bits, self.lot = bits, lot
         block = min(BLOCK_BITS, bits)
         self.maps = [np.zeros(max(1, (1 << bits) // 8), np.uint8) for _ in range(DEPTH)]
-        heavy: list[list] = [[] for _ in range(DEPTH)]
+        heavy: list[list] = [[(np.empty(0, np.int64), np.empty(0, np.int32))] for _ in range(DEPTH)]
         for line, at, cells, places, counts in rows:
             got = np.frombuffer(cells, np.uint8)
             self.maps[line][at * len(got) : (at + 1) * len(got)] = got
-            heavy[line] += [((at << block) + c, n) for c, n in zip(places, counts, strict=True)]
+            if places:
+                heavy[line].append((np.frombuffer(places, "<i4").astype(np.int64) + (at << block), np.frombuffer(counts, "<i4")))
         self.heavy = []
         for found in heavy:
-            found.sort()
-            self.heavy.append((np.array([x[0] for x in found], np.int64), np.array([x[1] for x in found], np.int64)))
+            cells, counts = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.argsort(cells)
+            self.heavy.append((cells[order], counts[order]))
 
     def repeated(self, anchors: np.ndarray) -> np.ndarray:
         out = np.ones(len(anchors), dtype=bool)
@@ -173,26 +179,26 @@ class Sketch:
                 i = np.minimum(np.searchsorted(cells, c), len(cells) - 1)
                 estimate = np.where(cells[i] == c, counts[i], 0)
             least = np.minimum(least, estimate)
-        return np.maximum(1, -(-least // LOT))
+        return np.maximum(1, -(-least // self.lot))
 
 
 def _group(batches: Iterator[pa.RecordBatch], keyed: int, work) -> Iterator[pa.RecordBatch]:
     """work(table) on runs of whole groups; rows come sorted by the first `keyed` columns."""
-    rest: pa.Table | None = None
+    held: list[pa.RecordBatch] = []  # of the last group, which may go on
     for b in batches:
-        now = pa.Table.from_batches([b]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([b])]).combine_chunks()
-        if not len(now):
+        if not len(b):
             continue
-        same = np.ones(len(now), dtype=bool)
+        same = np.ones(len(b), dtype=bool)
         for c in range(keyed):
-            values = now.column(c).to_numpy()
+            values = b.column(c).to_numpy()
             same &= values == values[-1]
         cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-        if cut:
-            yield from work(now.slice(0, cut))
-        rest = now.slice(cut)
-    if rest is not None and len(rest):
-        yield from work(rest)
+        if cut or (held and any(held[0].column(c)[0] != b.column(c)[0] for c in range(keyed))):
+            yield from work(pa.Table.from_batches([*held, b.slice(0, cut)]).combine_chunks())
+            held = []
+        held.append(b.slice(cut))
+    if held:
+        yield from work(pa.Table.from_batches(held).combine_chunks())
 
 
 def _spans(doc_id, of, first, end) -> dict:
@@ -247,20 +253,24 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR) ->
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # about 6 bytes a word and an anchor each 9 words; some 8 cells an anchor
     bits = min(SKETCH_BITS, max(12, int(size / 6 / 9 * 8).bit_length()))
-    shared = rows.sparkSession.sparkContext.broadcast(Sketch(written(_sketch(rows, bits, width, anchor), "sketch").coalesce(4).toLocalIterator(), bits))
+    lot = max(LOT, int(size / 6 / 9) // HEAVY)
+    shared = rows.sparkSession.sparkContext.broadcast(Sketch(written(_sketch(rows, bits, width, anchor, lot), "sketch").coalesce(4).toLocalIterator(), bits, lot))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = shared.value
         for b in batches:
-            for row, start, of_row, first, end, anchors, keys in _runs(b.column(2), width, anchor):
+            for row, base, start, of_row, first, end, anchors, keys in _runs(b.column(2), width, anchor):
                 keep = np.flatnonzero(sketch.repeated(anchors))
                 if not len(keep):
                     continue
                 first, end, anchors = first[keep], end[keep], anchors[keep]
                 doc = row + of_row[first]
                 lots = sketch.lots(anchors)
+                place = first - start[of_row[first]] + base
+                # by place as well, as one text, or equal texts without ids, may hold many
                 ids = b.column(0).fill_null(-1).to_numpy(zero_copy_only=False)[doc].view(np.uint64) ^ b.column(1).to_numpy()[doc].view(np.uint64)
-                lot = np.where(lots > 1, (T.mix(ids) % lots.astype(np.uint64)).astype(np.int64), -1)
+                dealt = T.mix(T.mix(ids) + place.astype(np.uint64))
+                lot = np.where(lots > 1, (dealt % lots.astype(np.uint64)).astype(np.int64), -1)
                 raw = keys.astype("<u8").tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -268,55 +278,85 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR) ->
                         pa.array(lot.astype(np.int32)),
                         b.column(0).take(pa.array(doc)),
                         b.column(1).take(pa.array(doc)),
-                        pa.array((first - start[of_row[first]]).astype(np.int32)),
+                        pa.array(place.astype(np.int32)),
                         pa.array([raw[8 * a : 8 * z] for a, z in zip(first.tolist(), end.tolist(), strict=True)], pa.binary()),
                     ],
                     names=["anchor", "lot", "doc_id", "of", "first", "keys"],
                 )
 
-    def meet(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        """Rows of one window from several lots: all are repeated if there are two."""
-        anchor, key = rows.column("anchor").to_numpy(), rows.column("key").to_numpy()
-        new = np.ones(len(rows), dtype=bool)
-        new[1:] = (np.diff(anchor) != 0) | (np.diff(key) != 0)
-        sizes = np.diff(np.append(np.flatnonzero(new), len(rows)))
-        at = np.flatnonzero((np.repeat(sizes, sizes) > 1) & ~rows.column("sure").to_numpy())
-        if len(at):
-            got = rows.take(pa.array(at)).combine_chunks()
-            yield pa.RecordBatch.from_pydict(_spans(*(got.column(c).combine_chunks() for c in ("doc_id", "of")), got.column("first").to_numpy(), got.column("end").to_numpy()))
-
     source = rows.select("doc_id", F.xxhash64("text").alias("of"), "text")
     runs = map_batches(source, candidates, RUNS).repartition("anchor", "lot").sortWithinPartitions("anchor", "lot")
     found = written(map_batches(runs, lambda b: _group(b, 2, _decide(width)), FOUND), "spans")
-    asked = found.where("anchor is not null").select("anchor", "key", "doc_id", "of", "first", "end", "sure")
-    met = map_batches(asked.repartition("anchor", "key").sortWithinPartitions("anchor", "key"), lambda b: _group(b, 2, meet), FOUND)
-    spans = found.where("anchor is null").unionByName(met).select("doc_id", "of", F.struct("first", "end").alias("span"))
-    return spans.groupBy("doc_id", "of").agg(F.sort_array(F.collect_set("span")).alias("spans"))
+    # a window that several lots hold is repeated; the counts are partial sums, so that no window's rows meet in one task
+    asked = found.where("anchor is not null")
+    several = asked.groupBy("anchor", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor", "key")
+    met = asked.where("not sure").join(several, ["anchor", "key"], "left_semi")
+    spans = found.where("anchor is null").unionByName(met.select(*found.columns)).select("doc_id", "of", F.struct("first", "end").alias("span"))
+    return map_batches(spans.groupBy("doc_id", "of").agg(F.collect_list("span").alias("spans")), _united, "doc_id long, of long, spans array<struct<first:int,end:int>>")
 
 
-def _removed(batches: Iterator[pa.RecordBatch], emit) -> Iterator[pa.RecordBatch]:
-    """emit(batch, the words kept of each row, counts of its words) for batches whose last columns are text and spans."""
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with their spans (column 2) in order, and those that meet made one."""
     for b in batches:
-        kept, counts = [], []
-        for text, spans in zip(b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True):
-            words = (text or "").encode().split()
-            counts.append(len(words))
-            if spans:
-                out, at = [], 0
-                for s in spans:
-                    out += words[at : s["first"]]
-                    at = max(at, s["end"])
-                words = out + words[at:]
-            kept.append(words)
-        yield emit(b, kept, counts)
+        sizes = pc.list_value_length(b.column(2)).to_numpy(zero_copy_only=False).astype(np.int64)
+        first, end = (x.to_numpy().astype(np.int64) for x in b.column(2).flatten().flatten())
+        row = np.repeat(np.arange(len(b)), sizes)
+        order = np.lexsort((first, row))
+        row, first, end = row[order], first[order], end[order]
+        reach = np.maximum.accumulate(end + (row << 32))  # the rows' spans lie apart
+        new = np.ones(len(row), dtype=bool)
+        new[1:] = first[1:] + (row[1:] << 32) > reach[:-1]
+        at = np.flatnonzero(new)
+        last = np.append(at[1:], len(row)) - 1
+        span = pa.StructArray.from_arrays([pa.array(first[at].astype(np.int32)), pa.array((reach[last] - (row[last] << 32)).astype(np.int32))], names=["first", "end"])
+        offsets = np.searchsorted(row[at], np.arange(len(b) + 1)).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(offsets), span)], names=["doc_id", "of", "spans"])
+
+
+def _chunks(raw: bytes, most: int = T.PIECE) -> Iterator[bytes]:
+    """The text in parts of about `most` bytes that end where a word does."""
+    at = 0
+    while at < len(raw):
+        stop = at + most
+        if stop < len(raw):
+            m = _SPACE.search(raw, stop)
+            stop = m.start() if m else len(raw)
+        yield raw[at:stop]
+        at = stop
+
+
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def _kept(raw: bytes, spans: list[dict] | None) -> Iterator[tuple[int, list[bytes]]]:
+    """For each part of a text how many words it has and which of them stay."""
+    n, gone = 0, iter(spans or ())
+    span = next(gone, None)
+    for part in _chunks(raw):
+        words = part.split()
+        out, at = [], 0
+        while span and span["first"] < n + len(words):
+            out += words[at : max(at, span["first"] - n)]
+            at = max(at, min(span["end"] - n, len(words)))
+            if span["end"] > n + len(words):
+                break
+            span = next(gone, None)
+        yield len(words), out + words[at:]
+        n += len(words)
 
 
 def _with_spans(docs: DataFrame, width: int) -> DataFrame:
-    """numbered(docs) with the text and its spans behind; rows of one id and text share theirs."""
-    spans = repeated_spans(docs, width).select(F.col("doc_id").alias("__id"), F.col("of").alias("__of"), F.col("spans").alias("__spans"))
+    """numbered(docs) with the text and its spans behind; rows of one id and text share theirs.
+
+    The spans are written and counted first: only if there are few are they sent to all
+    tasks, else the texts are shuffled to them.
+    """
+    spans = written(repeated_spans(docs, width), "spans-of-documents").select(F.col("doc_id").alias("__id"), F.col("of").alias("__of"), F.col("spans").alias("__spans"))
+    n, size = spans.agg(F.count(F.lit(1)), F.sum(F.size("__spans"))).first()
+    spans = spans.hint("broadcast" if 2 * n + (size or 0) <= FEW_SPANS else "shuffle_hash")
     rows = numbered(docs)
     same = column(docs, "doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(column(docs, "text")) == F.col("__of"))
-    return rows.join(spans.hint("shuffle_hash"), same, "left").drop("__id", "__of").withColumn("__text", column(docs, "text"))
+    return rows.join(spans, same, "left").drop("__id", "__of").withColumn("__text", column(docs, "text"))
 
 
 def substring_digests(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -327,12 +367,22 @@ def substring_digests(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     no words; texts of fewer words have no windows; null ids pass through.
     """
 
-    def emit(b: pa.RecordBatch, kept: list, counts: list) -> pa.RecordBatch:
-        digest = [hashlib.sha256(b" ".join(w)).hexdigest() for w in kept]
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64()), pa.array([n - len(w) for n, w in zip(counts, kept, strict=True)], pa.int64()), pa.array(digest)], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            counts, removed, digest = [], [], []
+            for text, spans in zip(b.column(1).cast(pa.large_binary()), b.column(2).to_pylist(), strict=True):
+                sha, n, stay = hashlib.sha256(), 0, 0
+                for size, words in _kept(text.as_py() or b"", spans):
+                    if words:
+                        sha.update((b" " if stay else b"") + b" ".join(words))
+                    n, stay = n + size, stay + len(words)
+                counts.append(n)
+                removed.append(n - stay)
+                digest.append(sha.hexdigest())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digest, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     rows = _with_spans(pick(docs, "doc_id", "text"), width).select("__c0", "__text", "__spans")
-    return map_batches(rows, lambda b: _removed(b, emit), "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return map_batches(rows, digests, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def substring_dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -342,17 +392,24 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     left go.  `n_chars`, where there is such a column, follows the text.
     """
 
-    def emit(b: pa.RecordBatch, kept: list, counts: list) -> pa.RecordBatch:
-        old = b.column(b.num_columns - 2).to_pylist()
-        changed = [len(w) != n for w, n in zip(kept, counts, strict=True)]
-        text = [(b" ".join(w).decode() if w else None) if c else t for w, c, t in zip(kept, changed, old, strict=True)]
-        gone = [c and not w for w, c in zip(kept, changed, strict=True)]
-        return pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(text, pa.string()), pa.array(gone)], names=[*b.schema.names[:-2], "__text", "__gone"])
+    def shorter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            old = b.column(b.num_columns - 2).cast(pa.large_binary())
+            texts, gone = [], []
+            for text, spans in zip(old, b.column(b.num_columns - 1).to_pylist(), strict=True):
+                if not spans:  # without one, no word goes
+                    texts.append(text.as_py())
+                    gone.append(False)
+                else:
+                    kept = b" ".join(b" ".join(words) for _, words in _kept(text.as_py() or b"", spans) if words)
+                    texts.append(kept or None)
+                    gone.append(not kept)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(texts, pa.binary()).cast(pa.string()), pa.array(gone, pa.bool_())], names=[*b.schema.names[:-2], "__text", "__gone"])
 
     rows = _with_spans(docs, width)
     rows = rows.select(*[c for c in rows.columns if c not in ("__text", "__spans")], "__text", "__spans")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-2]) + ", __text string, __gone boolean"
-    cut = map_batches(rows, lambda b: _removed(b, emit), schema).where("not __gone")
+    cut = map_batches(rows, shorter, schema).where("not __gone")
     names = docs.columns
     out = []
     for i, n in enumerate(names):
