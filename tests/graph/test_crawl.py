@@ -169,15 +169,6 @@ def test_readers_keep_their_version(spark, store):
         store.commit(old, pubkeys=old.pubkeys)
 
 
-def test_only_changed_buckets_are_written(spark, store):
-    base = store.bootstrap()
-    edges = spark.createDataFrame([(i, i + 1) for i in range(200)], "follower_id long, followee_id long")
-    first = store.commit(base, follows=edges)
-    second = store.commit(first, follows=edges.where("follower_id <> 7").union(spark.createDataFrame([(7, 99)], edges.schema)))
-    assert sum(first.follows_at[b] != second.follows_at[b] for b in first.follows_at) == 1
-    assert second.follows.count() == 200 and second.follows.where("followee_id = 99 and follower_id = 7").count() == 1
-
-
 def test_contract_views(spark, store):
     C.crawl(store, key(1), C.Sources(scan_of(spark, [follows(1, NOW, 2, 3), follows(2, NOW, 3)])), clock=lambda: NOW)
     views.register(store.current())

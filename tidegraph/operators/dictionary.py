@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..store import settled
+
 
 def checked_keys(keys: DataFrame, name: str = "pubkey") -> DataFrame:
     """keys; fails on one that isn't 32 bytes long, and says how long it is."""
@@ -16,16 +18,18 @@ def checked_keys(keys: DataFrame, name: str = "pubkey") -> DataFrame:
 def numbered(keys: DataFrame, name: str, after: int = 0, parts: int | None = None) -> DataFrame:
     """(id, key) of the distinct keys in their order, ids from after + 1.
 
-    A global row_number would sort in one task.  Instead keys are range-partitioned,
-    ranked within their range, and lifted by the sum of the ranges before: counts of
-    partitions are all that crosses to one task.
+    A global row_number would sort in one task.  Instead keys are range-partitioned and
+    sorted, and written with their partition and place; ids are places lifted by the
+    sizes of the partitions before, which are all that crosses to one task.  Places and
+    sizes come from the one written table, so they fit however often tasks run.
     """
     parts = parts or int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = keys.select(name).where(F.col(name).isNotNull()).distinct().repartitionByRange(parts, name).withColumn("__part", F.spark_partition_id())
-    ranked = dealt.withColumn("__rank", F.row_number().over(Window.partitionBy("__part").orderBy(name)))
-    sizes = dealt.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    dealt = keys.select(name).where(F.col(name).isNotNull()).distinct().repartitionByRange(parts, name).sortWithinPartitions(name)
+    # partition << 33 | place
+    placed = settled(dealt.withColumn("__at", F.monotonically_increasing_id()), "numbered").select(name, F.shiftright("__at", 33).alias("__part"), F.col("__at").bitwiseAND((1 << 33) - 1).alias("__place"))
+    sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     bases = sizes.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__base"))
-    return ranked.join(bases, "__part").select((F.col("__rank") + F.col("__base") + F.lit(after)).cast("long").alias("id"), name)
+    return placed.join(F.broadcast(bases), "__part").select((F.col("__place") + F.col("__base") + F.lit(after + 1)).cast("long").alias("id"), name)
 
 
 def get_or_create(dictionary: DataFrame, keys: DataFrame, name: str = "pubkey") -> DataFrame:

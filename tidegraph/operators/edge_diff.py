@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -45,37 +47,43 @@ def churn(lists: DataFrame) -> DataFrame:
     )
 
 
-def apply_lists(state: DataFrame, follows: DataFrame, lists: DataFrame, as_of, guard_stale: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(state, follows) after at most one list (id, event_id, created_at, followee_ids) per follower.
+def changes(state: DataFrame, edges_of: Callable[[DataFrame], DataFrame], lists: DataFrame, as_of, guard_stale: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What at most one list (id, event_id, created_at, followee_ids) per follower changes: (state rows, new edges, touched followers).
 
-    A list whose event is applied already only confirms, and so is dropped before its
-    tags are exploded.  An older event with another id replaces newer edges, unless
-    guard_stale asks that it only confirm as well.
+    `edges_of` gives the present edges of some followers (follower_id), so that no others
+    are read.  A touched follower's edges become the new ones.  A list whose event is
+    applied already only confirms, and so is dropped before its tags are exploded.  An
+    older event with another id replaces newer edges, unless guard_stale asks that it
+    only confirm as well.
     """
     now = F.lit(as_of)
     heads = lists.select("id", F.col("event_id").alias("__event"), F.col("created_at").alias("__created"))
-    known = state.select("id", "applied_event_id", "applied_created_at").join(heads, "id")
+    known = state.join(heads, "id")
     same = F.col("applied_event_id").eqNullSafe(F.col("__event"))
     if guard_stale:
         same = same | F.coalesce(F.col("applied_created_at") > F.col("__created"), F.lit(False))
-    apply_ids = known.where(~same).select("id")
-    fresh = lists.join(apply_ids, "id", "left_semi")
+    known = known.withColumn("__apply", ~same)
+    touched = known.where("__apply").select(F.col("id").alias("follower_id"))
+    fresh = lists.join(touched, lists["id"] == touched["follower_id"], "left_semi")
     new = fresh.select(F.col("id").alias("follower_id"), F.explode("followee_ids").alias("followee_id")).where("follower_id <> followee_id").distinct()
-    touched = apply_ids.withColumnRenamed("id", "follower_id")
-    mine = follows.join(touched, "follower_id", "left_semi")
-    changed = diff(new, mine).select(F.col("follower_id").alias("id")).distinct().withColumn("__changed", F.lit(True))
-    after = follows.join(touched, "follower_id", "left_anti").select("follower_id", "followee_id").unionByName(new)
-    marks = heads.join(apply_ids.withColumn("__apply", F.lit(True)), "id", "left").join(changed, "id", "left")
-    s = state.join(marks, "id", "left")
-    got, applied, moved = F.col("__event").isNotNull(), F.coalesce("__apply", F.lit(False)), F.coalesce("__changed", F.lit(False))
+    moved_ids = diff(new, edges_of(touched)).select(F.col("follower_id").alias("id")).distinct().withColumn("__moved", F.lit(True))
+    s = known.join(moved_ids, "id", "left")
+    moved = F.coalesce("__moved", F.lit(False))
     out = {
-        "status": F.when(got, F.lit("fetched")).otherwise(F.col("status")),
-        "last_fetched_at": F.when(got, now).otherwise(F.col("last_fetched_at")),
-        "last_confirmed_at": F.when(got, now).otherwise(F.col("last_confirmed_at")),
+        "status": F.lit("fetched"),
+        "last_fetched_at": now,
+        "last_confirmed_at": now,
         "last_changed_at": F.when(moved, now).otherwise(F.col("last_changed_at")),
-        "fetch_count": F.col("fetch_count") + got.cast("long"),
+        "fetch_count": F.col("fetch_count") + 1,
         "change_count": F.col("change_count") + moved.cast("long"),
-        "applied_event_id": F.when(applied, F.col("__event")).otherwise(F.col("applied_event_id")),
-        "applied_created_at": F.when(applied, F.col("__created")).otherwise(F.col("applied_created_at")),
+        "applied_event_id": F.when(F.col("__apply"), F.col("__event")).otherwise(F.col("applied_event_id")),
+        "applied_created_at": F.when(F.col("__apply"), F.col("__created")).otherwise(F.col("applied_created_at")),
     }
-    return s.select(*[out.get(c, F.col(c)).alias(c) for c in state.columns]), after
+    return s.select(*[out.get(c, F.col(c)).cast(state.schema[c].dataType).alias(c) for c in state.columns]), new, touched
+
+
+def apply_lists(state: DataFrame, follows: DataFrame, lists: DataFrame, as_of, guard_stale: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(state, follows) whole, after `changes`."""
+    rows, new, touched = changes(state, lambda who: follows.join(who, "follower_id", "left_semi"), lists, as_of, guard_stale)
+    rest = state.join(lists.select("id"), "id", "left_anti").select(*state.columns)
+    return rest.unionByName(rows), follows.join(touched, "follower_id", "left_anti").select("follower_id", "followee_id").unionByName(new)

@@ -14,8 +14,12 @@ FETCH_BUCKETS = (0.1, 0.25, 0.5, 1.0, 2.0, 5.0, 10.0, 30.0, 60.0)
 AGE_BUCKETS = (300.0, 900.0, 3600.0, 21600.0, 43200.0, 86400.0, 172800.0, 259200.0, 604800.0)
 
 
-def _changed(state: DataFrame, where: Column, **to: Column) -> DataFrame:
-    return state.select(*[F.when(where, to[c]).otherwise(F.col(c)).cast(state.schema[c].dataType).alias(c) if c in to else F.col(c) for c in state.columns])
+def _changed(state: DataFrame, where: Column, only: bool = False, **to: Column) -> DataFrame:
+    rows = state.where(where) if only else state
+    return rows.select(*[F.when(where, to[c]).otherwise(F.col(c)).cast(state.schema[c].dataType).alias(c) if c in to else F.col(c) for c in state.columns])
+
+
+# Transitions give the whole state, or with `only` just the rows that change, as a store's commit wants them.
 
 
 def claimable(state: DataFrame, n: int) -> DataFrame:
@@ -23,25 +27,25 @@ def claimable(state: DataFrame, n: int) -> DataFrame:
     return state.where("status = 'discovered'").orderBy("id").limit(n)
 
 
-def claim(state: DataFrame, n: int, now: Column) -> DataFrame:
+def claim(state: DataFrame, n: int, now: Column, only: bool = False) -> DataFrame:
     """state after n rows were claimed."""
     ids = claimable(state, n).select("id", F.lit(True).alias("__mine"))
     mine = F.coalesce(F.col("__mine"), F.lit(False))
-    return _changed(state.join(ids, "id", "left"), mine, status=F.lit("in_progress"), claimed_at=now).select(*state.columns)
+    return _changed(state.join(ids, "id", "left"), mine, only, status=F.lit("in_progress"), claimed_at=now).select(*state.columns)
 
 
-def set_status(state: DataFrame, outcomes: DataFrame, now: Column) -> DataFrame:
+def set_status(state: DataFrame, outcomes: DataFrame, now: Column, only: bool = False) -> DataFrame:
     """state with the status of outcomes (id, status) and a stamp; leases and attempts stay."""
     got = outcomes.select("id", F.col("status").alias("__to"))
-    return _changed(state.join(got, "id", "left"), F.col("__to").isNotNull(), status=F.col("__to"), last_fetched_at=now).select(*state.columns)
+    return _changed(state.join(got, "id", "left"), F.col("__to").isNotNull(), only, status=F.col("__to"), last_fetched_at=now).select(*state.columns)
 
 
-def _reclaimed(state: DataFrame, where: Column) -> DataFrame:
-    return _changed(state, F.coalesce(where, F.lit(False)), status=F.lit("discovered"), claimed_at=F.lit(None), fetch_attempts=F.lit(0))
+def _reclaimed(state: DataFrame, where: Column, only: bool) -> DataFrame:
+    return _changed(state, F.coalesce(where, F.lit(False)), only, status=F.lit("discovered"), claimed_at=F.lit(None), fetch_attempts=F.lit(0))
 
 
-def reclaim_at_start(state: DataFrame) -> DataFrame:
-    return _reclaimed(state, F.col("status") == "in_progress")
+def reclaim_at_start(state: DataFrame, only: bool = False) -> DataFrame:
+    return _reclaimed(state, F.col("status") == "in_progress", only)
 
 
 def stale(as_of: Column, ttl_seconds: int) -> Column:
@@ -49,25 +53,25 @@ def stale(as_of: Column, ttl_seconds: int) -> Column:
     return F.col("status").isin(*TERMINAL) & (F.col("last_fetched_at") < as_of - F.make_interval(secs=F.lit(ttl_seconds)))
 
 
-def reclaim_by_ttl(state: DataFrame, as_of: Column, ttl_seconds: int) -> DataFrame:
-    return _reclaimed(state, stale(as_of, ttl_seconds))
+def reclaim_by_ttl(state: DataFrame, as_of: Column, ttl_seconds: int, only: bool = False) -> DataFrame:
+    return _reclaimed(state, stale(as_of, ttl_seconds), only)
 
 
 def expired_lease(as_of: Column, age_seconds_: int) -> Column:
     return (F.col("status") == "in_progress") & (F.col("claimed_at") < as_of - F.make_interval(secs=F.lit(age_seconds_)))
 
 
-def reclaim_expired(state: DataFrame, as_of: Column, age_seconds_: int) -> DataFrame:
-    return _reclaimed(state, expired_lease(as_of, age_seconds_))
+def reclaim_expired(state: DataFrame, as_of: Column, age_seconds_: int, only: bool = False) -> DataFrame:
+    return _reclaimed(state, expired_lease(as_of, age_seconds_), only)
 
 
-def requeue_or_fail(state: DataFrame, ids: DataFrame, now: Column, most: int = MAX_ATTEMPTS) -> DataFrame:
+def requeue_or_fail(state: DataFrame, ids: DataFrame, now: Column, most: int = MAX_ATTEMPTS, only: bool = False) -> DataFrame:
     """state after the fetch of these ids failed once more: at `most` attempts they fail and are stamped, else they wait."""
     hit = ids.select("id").distinct().withColumn("__hit", F.lit(True))
     attempts = F.col("fetch_attempts") + 1
     over = attempts >= most
     to = {"status": F.when(over, "failed").otherwise("discovered"), "last_fetched_at": F.when(over, now).otherwise(F.col("last_fetched_at")), "claimed_at": F.lit(None), "fetch_attempts": attempts}
-    return _changed(state.join(hit, "id", "left"), F.coalesce("__hit", F.lit(False)), **to).select(*state.columns)
+    return _changed(state.join(hit, "id", "left"), F.coalesce("__hit", F.lit(False)), only, **to).select(*state.columns)
 
 
 def affected(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ could stand for the genuine event.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -16,8 +16,11 @@ from pyspark.sql.window import Window
 
 from ..deploy import ship
 from ..functions.scalars import saturating_add
-from ..functions.schnorr import valid_event
+from ..functions.schnorr import valid_events
+from ..store import settled
 
+#: Signatures that are checked at once.
+BATCH = 512
 #: Seconds that an event may lie in the future (a fixed value).
 FUTURE_CLAMP = 3600
 
@@ -37,7 +40,8 @@ def with_signature_check(events: DataFrame, name: str = "valid") -> DataFrame:
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            b[name] = [valid_event(r) for r in b[own].to_dict("records")]
+            events = b[own].to_dict("records")
+            b[name] = [v for i in range(0, len(events), BATCH) for v in valid_events(events[i : i + BATCH])]
             yield b
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in events.schema.fields)
@@ -85,6 +89,37 @@ def resolve(events: DataFrame, requested: DataFrame, kind, as_of: int, clamp: in
     return newest_wins(not_future(solicited(events, requested, kind), as_of, clamp))
 
 
+def resolve_unverified(events: DataFrame, requested: DataFrame, kind, as_of: int, clamp: int = FUTURE_CLAMP, tally: Callable[[str, int], None] | None = None) -> DataFrame:
+    """The winner of each requested author among events (author, ..., sig) whose signatures aren't checked yet.
+
+    Signatures are the dear part, so what can't win isn't verified: unsolicited and future
+    events go first, equal events of many relays are one, and of each author the newest is
+    checked.  Only where that fails are the author's other events.  `tally` gets how many
+    events were rejected and why; an unsolicited one counts as that, forged or not.
+    """
+    wanted = not_future(solicited(events, requested, kind), as_of, clamp)
+    if tally:
+        counts = reject_counts(events.withColumn("valid", F.lit(True)), requested, kind, as_of, clamp).where("reason <> 'accepted'").collect()  # at most two rows
+        for r in counts:
+            tally(r["reason"], r["n"])
+    own = [c for c in events.columns if c != "relay_url"]
+    w = Window.partitionBy("author").orderBy(F.desc("created_at"), F.asc("id"))
+    ranked = wanted.select(*own).distinct().withColumn("__rank", F.row_number().over(w))
+
+    def checked(rows: DataFrame) -> DataFrame:
+        return with_signature_check(rows.withColumnRenamed("author", "pubkey")).withColumnRenamed("pubkey", "author")
+
+    first = settled(checked(ranked.where("__rank = 1")), "newest")
+    bad = first.where("not valid").select("author")
+    found = first.where("valid").select(*own)
+    if not bad.isEmpty():
+        rest = settled(checked(ranked.where("__rank > 1").join(bad, "author", "left_semi")), "older")
+        found = found.unionByName(newest_wins(rest.where("valid").select(*own)))
+        if tally:
+            tally("invalid_signature", bad.count() + rest.where("not valid").count())
+    return found
+
+
 def reject_reason(valid: Column, wanted: Column, as_of: int, clamp: int = FUTURE_CLAMP) -> Column:
     """Why an event is rejected, null if it isn't; a forged and unsolicited one counts as forged."""
     limit = saturating_add(F.lit(as_of).cast("long"), F.lit(clamp).cast("long"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,6 +15,50 @@ HISTOGRAMS = ("fetch_duration_seconds", "staleness_age_seconds")
 WINDOW_SECONDS = 300
 
 
+class Registry:
+    """The process's metric families: each has a series from the start, as far as its labels are known."""
+
+    def __init__(self) -> None:
+        self.lock = threading.Lock()
+        self.values: dict[tuple[str, tuple[tuple[str, str], ...]], float] = {(n, ()): 0.0 for n in (*COUNTERS, *GAUGES) if not n.startswith("relay_") or n in ("relay_active_count", "relay_consecutive_failures")}
+        self.buckets: dict[str, dict[float, int]] = {n: {float("inf"): 0} for n in HISTOGRAMS}
+        self.sums = dict.fromkeys(HISTOGRAMS, 0.0)
+
+    def count(self, name: str, n: float = 1, **labels: str) -> None:
+        """Adds to a counter."""
+        at = (name, tuple(sorted(labels.items())))
+        with self.lock:
+            self.values[at] = self.values.get(at, 0.0) + n
+
+    def set(self, name: str, value: float, **labels: str) -> None:
+        """A gauge's new value."""
+        with self.lock:
+            self.values[name, tuple(sorted(labels.items()))] = float(value)
+
+    def observe(self, name: str, buckets: list[tuple[float, int]], total: float) -> None:
+        """Adds cumulative buckets (bound, number) and their sum to a histogram."""
+        with self.lock:
+            held = self.buckets[name]
+            for le, n in buckets:
+                held[le] = held.get(le, 0) + n
+            self.sums[name] += total
+
+    def samples(self) -> list[tuple[str, dict[str, str], float]]:
+        """(name, labels, value) of all series."""
+        with self.lock:
+            out = [(name, dict(labels), v) for (name, labels), v in sorted(self.values.items())]
+            for name, held in self.buckets.items():
+                out += [(f"{name}_bucket", {"le": "+Inf" if le == float("inf") else str(le)}, float(n)) for le, n in sorted(held.items())]
+                out += [(f"{name}_sum", {}, self.sums[name]), (f"{name}_count", {}, float(held[float("inf")]))]
+        return out
+
+    def text(self) -> str:
+        """The exposition of all series; the same format as `exposition` gives of a DataFrame."""
+        escape = lambda v: v.replace("\\", "\\\\").replace('"', '\\"')
+        line = lambda name, labels, v: name + ("{" + ",".join(f'{k}="{escape(x)}"' for k, x in sorted(labels.items())) + "}" if labels else "") + f" {v}"
+        return "".join(line(*s) + "\n" for s in self.samples())
+
+
 def windows(rows: DataFrame, ts: str = "ts", seconds: int = WINDOW_SECONDS) -> DataFrame:
     return rows.withColumn("window_start", F.window(ts, f"{seconds} seconds").start)
 

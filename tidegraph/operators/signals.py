@@ -22,11 +22,15 @@ def _ordered(*value: str) -> Column:
     return F.array_sort(F.collect_list(F.struct("ts", "seq", *value)))
 
 
-def health(samples: DataFrame, alpha: float = ALPHA) -> DataFrame:
-    """(source, score, n): exponentially weighted mean of samples (source, ts, seq, sample), from 1."""
+def health(samples: DataFrame, alpha: float = ALPHA, before: DataFrame | None = None) -> DataFrame:
+    """(source, score, n): exponentially weighted mean of samples (source, ts, seq, sample), from 1 or from the score of `before`."""
     keep = 1.0 - alpha
-    fold = F.aggregate(F.transform("__s", lambda e: e["sample"]), F.lit(1.0), lambda a, x: a * F.lit(keep) + F.lit(alpha) * x)
-    return samples.groupBy("source").agg(_ordered("sample").alias("__s")).select("source", fold.alias("score"), F.size("__s").cast("long").alias("n"))
+    rows = samples.groupBy("source").agg(_ordered("sample").alias("__s"))
+    start = F.lit(1.0)
+    if before is not None:
+        rows, start = rows.join(before.select("source", F.col("score").alias("__start")), "source", "left"), F.coalesce("__start", F.lit(1.0))
+    fold = F.aggregate(F.transform("__s", lambda e: e["sample"]), start, lambda a, x: a * F.lit(keep) + F.lit(alpha) * x)
+    return rows.select("source", fold.alias("score"), F.size("__s").cast("long").alias("n"))
 
 
 def quota(requests: DataFrame, per_second: int = REQUESTS_PER_SECOND, burst: int | None = None, step: int | None = None) -> DataFrame:
@@ -59,6 +63,18 @@ def failures(signals: DataFrame) -> DataFrame:
     return island.withColumn("failures", F.sum(F.col("failed").cast("long")).over(within)).drop("__island")
 
 
+def failures_after(signals: DataFrame, before: DataFrame) -> DataFrame:
+    """(source, failures): how many came since the last reset of signals (source, ts, seq, failed, reset), or on top of `before`'s.
+
+    Two partial aggregates, without a window.
+    """
+    at = F.struct("ts", "seq")
+    last = signals.groupBy("source").agg(F.max(F.when(F.col("reset"), at)).alias("__last"))
+    since = signals.join(last, "source").groupBy("source").agg(F.count_if(F.col("failed") & (F.col("__last").isNull() | (at > F.col("__last")))).alias("__n"), F.first("__last").alias("__last"))
+    known = since.join(before.select("source", F.col("failures").alias("__before")), "source", "left")
+    return known.select("source", (F.col("__n") + F.when(F.col("__last").isNull(), F.coalesce("__before", F.lit(0))).otherwise(0)).cast("long").alias("failures"))
+
+
 def backoff_schedule(signals: DataFrame, base: float = 1.0, cap: float = 300.0) -> DataFrame:
     """The failures with the wait that follows each."""
     return failures(signals).where("failed").withColumn("delay", backoff(F.col("failures") - 1, base, cap))

@@ -8,21 +8,28 @@ import threading
 import time
 import urllib.request
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import astuple
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config, public_key
+from ..functions.scalars import http_url
 from ..operators import frontier, metrics
 from ..operators.limits import LARGEST_DOCUMENT, parsed
+from ..sources.relay import Connection
 from ..store import Store
-from .crawl import Sources, Stats, crawl, refresh
+from .crawl import Sources, Stats, crawl, reclaim_leases, reenqueue_stale, sources_of
+from .fleet import Fleet
 
 log = logging.getLogger(__name__)
 
 #: Seconds for a relay's whole answer, and the media type of limits documents (fixed values).
 LIMITS_TIMEOUT, LIMITS_TYPE = 10, "application/nostr+json"
+#: Seconds in which a store that is ready answers (a fixed value).
+READY_SECONDS = 0.5
 
 
 class JsonLines(logging.Formatter):
@@ -56,30 +63,30 @@ def limits_documents(spark: SparkSession, relays: list[tuple[str, str]], fetch:
     return parsed(spark.createDataFrame(rows, "url string, body string"))
 
 
-def samples(store: Store, as_of: int) -> DataFrame:
-    """(name, labels, value) of the store's newest version: frontier gauges and the age histogram."""
+def sample(store: Store, registry: metrics.Registry, as_of: int) -> None:
+    """The frontier's gauges and the ages of the stalest vertices, from the store's newest version."""
     state = store.current().pubkeys
-    counts = frontier.counts(state)
-    none = F.create_map().cast("map<string,string>")
-
-    def gauge(name: str, value) -> DataFrame:
-        return counts.select(F.lit(name).alias("name"), none.alias("labels"), value.cast("double").alias("value"))
-
-    ages = frontier.stalest(state, F.timestamp_seconds(F.lit(as_of)))
-    buckets = frontier.histogram(ages, "age")
-    le = F.when(F.col("le") == float("inf"), "+Inf").otherwise(F.col("le").cast("string"))
-    aged = buckets.select(F.lit("staleness_age_seconds_bucket").alias("name"), F.create_map(F.lit("le"), le).alias("labels"), F.col("n").cast("double").alias("value"))
-    return gauge("frontier_depth", F.col("discovered")).unionByName(gauge("crawl_coverage_ratio", F.col("coverage"))).unionByName(aged)
+    counts = frontier.counts(state).first()
+    registry.set("frontier_depth", counts["discovered"])
+    registry.set("crawl_coverage_ratio", counts["coverage"])
+    ages = frontier.stalest(state, F.timestamp_seconds(F.lit(as_of))).cache()
+    registry.observe("staleness_age_seconds", [(b["le"], b["n"]) for b in frontier.histogram(ages, "age").collect()], ages.agg(F.sum("age")).first()[0] or 0.0)
+    ages.unpersist()
 
 
 class Daemon:
     """Runs until `stop` is set; a wave that has begun is finished."""
 
-    def __init__(self, store: Store, config: Config, sources: Sources, clock: Callable[[], float] = time.time):
-        self.store, self.config, self.sources, self.clock = store, config, sources, clock
+    def __init__(self, store: Store, config: Config, sources: Sources, clock: Callable[[], float] = time.time, fleet: Fleet | None = None):
+        self.store, self.config, self.sources, self.clock, self.fleet = store, config, sources, clock, fleet
         self.stop, self.alive = threading.Event(), False
         self.stats = Stats()
-        self.text = ""
+        self.metrics = fleet.metrics if fleet else metrics.Registry()
+        self.pool = ThreadPoolExecutor(1)
+
+    @property
+    def text(self) -> str:
+        return self.metrics.text()
 
     def due(self, last: dict[str, float], name: str, every: float) -> bool:
         if self.clock() - last.get(name, float("-inf")) < every:
@@ -89,31 +96,46 @@ class Daemon:
 
     def run(self) -> Stats:
         c, last = self.config, {}
-        sources = self.sources if c.nip65_fallback_enabled else Sources(self.sources.lists)
-        self.alive = True
+        sources = self.sources if c.nip65_fallback_enabled else Sources(self.sources.lists, record=self.sources.record)
+        self.alive, first = True, True
         try:
             while not self.stop.is_set():
-                done = crawl(self.store, public_key(c.anchor_pubkey), sources, lambda: int(self.clock()), batch=c.batch_size * c.concurrency, stop=self.stop.is_set, most=c.max_attempts, k=c.nip65_max_write_relays)
-                self.stats = Stats(self.stats.reclaimed + done.reclaimed, self.stats.claimed + done.claimed, self.stats.waves + done.waves)
-                if self.due(last, "refresh", min(c.staleness_scan_interval, c.reclaim_interval)):
-                    refresh(self.store, int(self.clock()), int(c.ttl), int(c.reclaim_age))
+                done = crawl(
+                    self.store, public_key(c.anchor_pubkey), sources, lambda: int(self.clock()), width=c.batch_size * c.concurrency, batch=c.batch_size, stop=self.stop.is_set, reclaim=first, most=c.max_attempts, k=c.nip65_max_write_relays, metrics=self.metrics
+                )
+                first = False
+                self.stats = Stats(*(a + b for a, b in zip(astuple(self.stats), astuple(done), strict=True)))
+                if self.due(last, "staleness", c.staleness_scan_interval):
+                    self.metrics.count("staleness_reenqueued", reenqueue_stale(self.store, int(self.clock()), int(c.ttl)))
+                if self.due(last, "leases", c.reclaim_interval):
+                    self.metrics.count("in_run_reclaimed", reclaim_leases(self.store, int(self.clock()), int(c.reclaim_age)))
                 if self.due(last, "progress", c.progress_interval):
-                    self.text = "\n".join(r.line for r in metrics.exposition(samples(self.store, int(self.clock()))).collect()) + "\n"
-                    log.info("claimed %d in %d waves", self.stats.claimed, self.stats.waves)
+                    sample(self.store, self.metrics, int(self.clock()))
+                    if self.fleet:
+                        self.fleet.sample()
+                    log.info("claimed %d in %d waves of %d batches", self.stats.claimed, self.stats.waves, self.stats.batches)
                 self.stop.wait(c.idle_poll_interval)
         finally:
             self.alive = False
         return self.stats
 
     def ready(self) -> bool:
-        """The loop runs and the store answers."""
+        """The loop runs, and the store answers within READY_SECONDS."""
         try:
-            return self.alive and self.store.current().version >= 0
-        except Exception:
-            log.exception("the store doesn't answer")
+            return self.alive and self.pool.submit(lambda: self.store.current().version).result(READY_SECONDS) >= 0
+        except Exception as e:
+            log.warning("the store doesn't answer: %r", e)
             return False
 
 
+def assembled(spark: SparkSession, config: Config, root: str, connect: Callable[[str], Connection], fetch: Callable[[str], bytes] | None = None, clock: Callable[[], float] = time.time) -> Daemon:
+    """A daemon over the settings' relays, each asked within the limits that it tells."""
+    fleet = Fleet(spark, config.relays, connect, config.relay_health_threshold, config.health_alpha, config.per_relay_concurrency, config.reqs_per_second, config.fetch_timeout)
+    http = spark.createDataFrame([(u,) for u in config.relays], "url string").select("url", http_url(F.col("url")).alias("http")).collect()
+    fleet.limit(limits_documents(spark, [(r["url"], r["http"]) for r in http], fetch))
+    return Daemon(Store(spark, root), config, sources_of(fleet, clock), clock, fleet)
+
+
 def serve(daemon: Daemon, address: str) -> ThreadingHTTPServer:
     """/metrics, /health/live and /health/ready, on a thread of its own."""
 

@@ -1,9 +1,15 @@
-"""The three tables as versioned snapshots under one pointer.
-
-A commit writes a new version of what changed and then replaces one small file, so
-readers see all tables of one version or all of another, and are never blocked.  The
-edges are bucketed by a hash of the follower into folders; a commit rewrites only the
-folders that hold changed followers and refers to the others where they lie.
+"""The three tables as versioned snapshots, written by key.
+
+Every table has a key (a vertex's id, a follower, a relay list's owner), and a change
+replaces all rows of some keys.  A commit writes just these rows and keys, as a layer
+over the base; readers take a key's rows from the newest layer that names it, else from
+the base.  When layers have grown to a part of the base, they are folded into those of
+its buckets (by a hash of the key) that they touch; the number of buckets follows the
+table.  So what a commit writes follows what changed, not the size of the graph.
+
+A version is one small file that is created exclusively, so of two writers that start
+from one version only one succeeds, and readers see all tables of one version or all of
+another and are never blocked.  The newest versions are kept, with the files they need.
 """
 
 from __future__ import annotations
@@ -11,16 +17,26 @@ from __future__ import annotations
 import atexit
 import contextlib
 import json
+import os
 import tempfile
 import uuid
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .schemas import FOLLOWS, PUBKEY_RELAYS, PUBKEYS, VERSION
+from .schemas import TABLES, VERSION
 
-BUCKETS = 64
+#: The key of each table.
+KEYS = {"pubkeys": "id", "follows": "follower_id", "pubkey_relays": "pubkey_id"}
+#: Buckets of a new table, and rows that one should hold; a table of twice as many rows gets twice the buckets.
+BUCKETS, BUCKET_ROWS = 16, 4_000_000
+#: Layers are folded when there are more than so many, or their rows exceed this part of the base and this number.
+LAYERS, PART, FEW = 12, 0.25, 100_000
+#: Versions that are kept.
+RETAINED = 32
 
 
 def scratch(spark: SparkSession) -> str:
@@ -59,107 +75,227 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Conflict(RuntimeError):
+    """Another commit came first."""
+
+
+@dataclass(frozen=True)
+class Table:
+    """Where a table lies: its base by bucket, and layers (rows and keys), oldest first."""
+
+    buckets: int = BUCKETS
+    rows: int = 0
+    base: dict[str, str] = field(default_factory=dict)
+    layers: tuple[dict, ...] = ()
+
+    def folders(self) -> set[str]:
+        return {*self.base.values(), *(x["at"] for x in self.layers)}
+
+
 @dataclass(frozen=True)
 class Snapshot:
-    """One version: where each table's files lie."""
+    """One version of all tables."""
 
     spark: SparkSession
     version: int
-    pubkeys_at: str
-    relays_at: str
-    follows_at: dict[str, str]
+    tables: dict[str, Table]
+
+    def _read(self, name: str, *paths: str) -> DataFrame:
+        return self.spark.read.schema(TABLES[name]).parquet(*paths) if paths else self.spark.createDataFrame([], TABLES[name])
+
+    def _newest(self, name: str) -> DataFrame:
+        """(key, __layer): the newest layer that names each key of any."""
+        key = KEYS[name]
+        parts = [self.spark.read.schema(f"{key} long").parquet(f"{x['at']}/keys").withColumn("__layer", F.lit(i)) for i, x in enumerate(self.tables[name].layers)]
+        return reduce(DataFrame.unionByName, parts).groupBy(key).agg(F.max("__layer").alias("__layer"))
+
+    def _merged(self, name: str, base: DataFrame) -> DataFrame:
+        t, key = self.tables[name], KEYS[name]
+        if not t.layers:
+            return base
+        newest = self._newest(name)
+        parts = [self._read(name, f"{x['at']}/rows").withColumn("__layer", F.lit(i)) for i, x in enumerate(t.layers)]
+        over = reduce(DataFrame.unionByName, parts).join(newest, [key, "__layer"], "left_semi").select(*base.columns)
+        return base.join(newest, key, "left_anti").select(*base.columns).unionByName(over)
+
+    def table(self, name: str) -> DataFrame:
+        return self._merged(name, self._read(name, *sorted(self.tables[name].base.values())))
+
+    def of_keys(self, name: str, keys: DataFrame) -> DataFrame:
+        """The rows of some keys (one column): only their buckets are read."""
+        t, key = self.tables[name], KEYS[name]
+        keys = keys.toDF(key).distinct()
+        touched = [str(r[0]) for r in keys.select(bucket(key, t.buckets)).distinct().collect()]  # at most the number of buckets
+        return self._merged(name, self._read(name, *sorted(t.base[b] for b in touched if b in t.base))).join(keys, key, "left_semi")
 
     @property
     def pubkeys(self) -> DataFrame:
-        return self.spark.read.schema(PUBKEYS).parquet(self.pubkeys_at)
+        return self.table("pubkeys")
 
     @property
     def pubkey_relays(self) -> DataFrame:
-        return self.spark.read.schema(PUBKEY_RELAYS).parquet(self.relays_at)
+        return self.table("pubkey_relays")
 
     @property
     def follows(self) -> DataFrame:
-        return self.spark.read.schema(FOLLOWS).parquet(*sorted(self.follows_at.values()))
+        return self.table("follows")
 
-    def follows_of_buckets(self, buckets: list[int]) -> DataFrame:
-        return self.spark.read.schema(FOLLOWS).parquet(*[self.follows_at[str(b)] for b in buckets])
 
-
-def bucket(column: str = "follower_id"):
-    return F.pmod(F.xxhash64(column), F.lit(BUCKETS)).cast("int")
+def bucket(column: str, buckets: int):
+    return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int")
 
 
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def bootstrap(self) -> Snapshot:
-        """Empty tables unless there are some; may run any number of times."""
-        fs, pointer = _files(self.spark, f"{self.root}/CURRENT")
-        if not fs.exists(pointer):
-            empty = self.spark.createDataFrame([], FOLLOWS)
-            self._commit(0, self.spark.createDataFrame([], PUBKEYS), self.spark.createDataFrame([], PUBKEY_RELAYS), {}, empty, list(range(BUCKETS)))
-        return self.current()
+    # versions
 
-    def current(self) -> Snapshot:
-        """The newest version; a reader that holds it isn't affected by commits."""
-        fs, pointer = _files(self.spark, f"{self.root}/CURRENT")
-        stream = fs.open(pointer)
+    def _versions(self) -> list[int]:
+        fs, where = _files(self.spark, f"{self.root}/versions")
+        if not fs.exists(where):
+            return []
+        names = [f.getPath().getName() for f in fs.listStatus(where)]
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+    def _pointer(self, version: int) -> str:
+        return f"{self.root}/versions/{version:012d}.json"
+
+    def _load(self, version: int) -> tuple[int, dict[str, Table]]:
+        """The schema and the tables of a version."""
+        fs, where = _files(self.spark, self._pointer(version))
+        stream = fs.open(where)
         try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            at = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
-        at = json.loads(text)
-        if at["schema"] != VERSION:
-            raise ValueError(f"schema {at['schema']}, not {VERSION}")
-        return Snapshot(self.spark, at["version"], at["pubkeys"], at["relays"], at["follows"])
+        return at["schema"], {name: Table(t["buckets"], t["rows"], t["base"], tuple(t["layers"])) for name, t in at["tables"].items()}
 
-    def commit(self, base: Snapshot, pubkeys: DataFrame | None = None, relays: DataFrame | None = None, follows: DataFrame | None = None) -> Snapshot:
-        """The next version.  `follows` are all edges; only folders whose edges differ are written.
+    def _create(self, version: int, tables: dict[str, Table]) -> None:
+        """The version's file, whole or not at all; fails if there is one."""
+        text = json.dumps({"schema": VERSION, "tables": {n: {"buckets": t.buckets, "rows": t.rows, "base": t.base, "layers": list(t.layers)} for n, t in tables.items()}})
+        jvm = self.spark._jvm
+        fs, final = _files(self.spark, self._pointer(version))
+        temporary = jvm.org.apache.hadoop.fs.Path(f"{self.root}/versions/.{uuid.uuid4().hex}")
+        out = fs.create(temporary, True)
+        out.write(text.encode())
+        out.close()
+        try:
+            if (fs.getUri().getScheme() or "file") == "file":  # a local rename would replace the other's file
+                os.link(temporary.toUri().getPath(), final.toUri().getPath())
+            else:
+                none = jvm.java.lang.reflect.Array.newInstance(jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), 0)
+                jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), self.spark._jsc.hadoopConfiguration()).rename(temporary, final, none)
+        except FileExistsError as e:
+            raise Conflict(f"version {version} is another's") from e
+        except Exception as e:
+            if "FileAlreadyExists" in str(e):
+                raise Conflict(f"version {version} is another's") from e
+            raise
+        finally:
+            fs.delete(temporary, False)
 
-        Fails if someone else committed since `base` was read.
-        """
-        buckets: list[int] = []
-        if follows is not None:
-            key = ["follower_id", "followee_id"]
-            old = base.follows.select(*key).withColumn("__o", F.lit(1))
-            new = follows.select(*key).withColumn("__n", F.lit(1))
-            changed = old.join(new, key, "full").where("__o is null or __n is null")
-            buckets = sorted(r[0] for r in changed.select(bucket()).distinct().collect())  # at most BUCKETS
-        if self.current().version != base.version:
-            raise RuntimeError("another commit came first")
-        self._commit(base.version + 1, pubkeys, relays, base.follows_at, follows, buckets, base)
+    def bootstrap(self) -> Snapshot:
+        """Empty tables unless there are some, and those of an older schema made new; may run any number of times."""
+        versions = self._versions()
+        if not versions:
+            with contextlib.suppress(Conflict):
+                self._create(0, {name: Table() for name in TABLES})
+        elif self._load(versions[-1])[0] < VERSION:
+            with contextlib.suppress(Conflict):
+                self._upgrade(versions[-1])
         return self.current()
 
-    def _commit(self, version: int, pubkeys, relays, follows_at: dict[str, str], follows, buckets: list[int], base: Snapshot | None = None) -> None:
-        home = f"{self.root}/v={version}-{uuid.uuid4().hex}"
-        at = {"schema": VERSION, "version": version, "pubkeys": base and base.pubkeys_at, "relays": base and base.relays_at, "follows": dict(follows_at)}
-        if pubkeys is not None:
-            at["pubkeys"] = f"{home}/pubkeys"
-            pubkeys.select(*PUBKEYS.names).sortWithinPartitions("last_fetched_at").write.parquet(at["pubkeys"])
-        if relays is not None:
-            at["relays"] = f"{home}/pubkey_relays"
-            relays.select(*PUBKEY_RELAYS.names).write.parquet(at["relays"])
-        if buckets:
-            edges = follows.withColumn("b", bucket()).where(F.col("b").isin(buckets))
-            edges.repartition("b").sortWithinPartitions("b", "follower_id", "followee_id").write.partitionBy("b").parquet(f"{home}/follows")
-            fs, _ = _files(self.spark, home)
-            for b in buckets:
-                folder = f"{home}/follows/b={b}"
-                fs.mkdirs(self.spark._jvm.org.apache.hadoop.fs.Path(folder))  # a bucket may be left empty
-                at["follows"][str(b)] = folder
-        self._point(at)
-
-    def _point(self, at: dict) -> None:
-        """Replaces the pointer in one rename."""
-        jvm = self.spark._jvm
-        fs, pointer = _files(self.spark, f"{self.root}/CURRENT")
-        new = jvm.org.apache.hadoop.fs.Path(f"{self.root}/CURRENT.{uuid.uuid4().hex}")
-        out = fs.create(new, True)
-        out.write(json.dumps(at).encode())
-        out.close()
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(pointer.toUri(), self.spark._jsc.hadoopConfiguration())
-        overwrite = jvm.java.lang.reflect.Array.newInstance(jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), 1)
-        overwrite[0] = jvm.java.lang.Enum.valueOf(jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), "OVERWRITE")
-        context.rename(new, pointer, overwrite)
+    def _upgrade(self, version: int) -> None:
+        """Columns and tables that an older schema lacks: files don't change, as readers fill in what is missing."""
+        _, tables = self._load(version)
+        self._create(version + 1, {name: tables.get(name, Table()) for name in TABLES})
 
+    def current(self) -> Snapshot:
+        """The newest version; a reader that holds it isn't affected by commits."""
+        version = self._versions()[-1]
+        schema, tables = self._load(version)
+        if schema != VERSION:
+            raise ValueError(f"schema {schema}, not {VERSION}; bootstrap the store" if schema < VERSION else f"schema {schema} is newer than {VERSION}")
+        return Snapshot(self.spark, version, tables)
+
+    # commits
+
+    def commit(self, base: Snapshot, **changes: DataFrame | tuple[DataFrame, DataFrame]) -> Snapshot:
+        """The next version: `changes` are by table the new rows of some keys, or these rows and the keys.
+
+        A table's keys are those of its rows if they aren't given; a key without rows loses
+        its own.  Raises Conflict if someone else committed since `base` was read.
+        """
+        home = f"{self.root}/v={base.version + 1}-{uuid.uuid4().hex}"
+        tables = dict(base.tables)
+        for name, change in changes.items():
+            rows, keys = change if isinstance(change, tuple) else (change, None)
+            tables[name] = self._layered(tables[name], name, f"{home}/{name}", rows, keys)
+        after = Snapshot(self.spark, base.version + 1, tables)
+        for name in changes:
+            t = tables[name]
+            if len(t.layers) > LAYERS or sum(x["rows"] for x in t.layers) > max(PART * t.rows, FEW):
+                tables[name] = self._folded(after, name, f"{home}/{name}-base")
+                delete(self.spark, f"{home}/{name}")  # no version refers to this layer
+        try:
+            self._create(base.version + 1, tables)
+        except Conflict:
+            delete(self.spark, home)
+            raise
+        self._expire(base.version + 1)
+        return Snapshot(self.spark, base.version + 1, tables)
+
+    def update(self, change: Callable[[Snapshot], dict], tries: int = 20) -> Snapshot:
+        """commit(base, **change(base)), from the start again if another commit came first; nothing if change gives nothing."""
+        for n in range(tries):
+            base = self.current()
+            changes = change(base)
+            if not changes:
+                return base
+            try:
+                return self.commit(base, **changes)
+            except Conflict:
+                if n == tries - 1:
+                    raise
+        raise AssertionError
+
+    def _layered(self, t: Table, name: str, at: str, rows: DataFrame, keys: DataFrame | None) -> Table:
+        key = KEYS[name]
+        rows.select(*TABLES[name].names).write.parquet(f"{at}/rows")
+        written = self.spark.read.schema(TABLES[name]).parquet(f"{at}/rows")
+        (written.select(key) if keys is None else keys.toDF(key)).distinct().write.parquet(f"{at}/keys")
+        return Table(t.buckets, t.rows, t.base, (*t.layers, {"at": at, "rows": written.count()}))
+
+    def _folded(self, after: Snapshot, name: str, at: str) -> Table:
+        """The table with its layers in the base; only buckets that they touch are written, or all if there are too few."""
+        t, key = after.tables[name], KEYS[name]
+        total, buckets = t.rows + sum(x["rows"] for x in t.layers), t.buckets
+        while total > 2 * BUCKET_ROWS * buckets:
+            buckets *= 2
+        if buckets == t.buckets:
+            touched = sorted(r[0] for r in after._newest(name).select(bucket(key, buckets)).distinct().collect())  # at most the number of buckets
+        else:
+            touched = list(range(buckets))
+        old = [str(b) for b in (touched if buckets == t.buckets else range(t.buckets))]
+        rows = after._merged(name, after._read(name, *[t.base[b] for b in old if b in t.base])).withColumn("b", bucket(key, buckets))
+        rows.repartition(len(touched), "b").sortWithinPartitions("b", *TABLES[name].names[:2]).write.partitionBy("b").parquet(at)
+        fs, _ = _files(self.spark, at)
+        base = {} if buckets != t.buckets else {b: f for b, f in t.base.items() if b not in old}
+        for b in touched:  # a bucket may be left empty
+            if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f"{at}/b={b}")):
+                base[str(b)] = f"{at}/b={b}"
+        n = self.spark.read.schema(TABLES[name]).parquet(*base.values()).count() if base else 0  # of the files' footers
+        return Table(buckets, n, base)
+
+    def _expire(self, version: int) -> None:
+        """Deletes versions beyond the newest ones, and files that only they needed."""
+        old = [v for v in self._versions() if v <= version - RETAINED]
+        if not old:
+            return
+        keep = {f for v in self._versions() if v > version - RETAINED for t in self._load(v)[1].values() for f in t.folders()}
+        for v in old:
+            for t in self._load(v)[1].values():
+                for folder in t.folders() - keep:
+                    delete(self.spark, folder)
+            delete(self.spark, self._pointer(v))

@@ -6,15 +6,16 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.signals import ALPHA
+from ..functions.scalars import notice_class
+from ..operators.signals import ALPHA, routed
 from ..operators.tags import FOLLOW_CAP
-from ..plans.ingest import apply_follow_lists, follow_lists
-from ..store import Store
+from ..plans.ingest import follow_lists, list_changes
+from ..store import Store, settled
 
-HEALTH = "source long, score double, n long"
 _STATE = "score double, n long"
 
 
@@ -30,15 +31,20 @@ def stream_health(samples: DataFrame, alpha: float = ALPHA) -> DataFrame:
         state.update((score, n))
         yield pd.DataFrame({"source": [key[0]], "score": [score], "n": [n]})
 
-    return samples.groupBy("source").applyInPandasWithState(update, HEALTH, _STATE, "update", GroupStateTimeout.NoTimeout)
+    health = f"source {samples.schema['source'].dataType.simpleString()}, score double, n long"
+    return samples.groupBy("source").applyInPandasWithState(update, health, _STATE, "update", GroupStateTimeout.NoTimeout)
 
 
 def ingest_batch(store: Store, events: DataFrame, requested: DataFrame, as_of: int, cap: int = FOLLOW_CAP) -> None:
     """One micro-batch of signed events into the store's next version."""
-    base = store.current()
-    lists = follow_lists(events, requested, as_of, cap=cap)
-    pubkeys, follows = apply_follow_lists(base.pubkeys, base.follows, lists, as_of)
-    store.commit(base, pubkeys=pubkeys, follows=follows)
+    lists = settled(follow_lists(events, requested, as_of, cap=cap), "lists")
+    if not lists.isEmpty():
+        store.update(lambda base: list_changes(base, lists, as_of))
+
+
+def stream_notices(notices: DataFrame) -> DataFrame:
+    """A stream of relays' notices (relay_url, ts, seq, message) as samples and failures, for `stream_health` and the counters."""
+    return routed(notices.select(F.col("relay_url").alias("source"), "ts", "seq", notice_class(F.col("message")).alias("kind")))
 
 
 def run(events: DataFrame, store: Store, requested: DataFrame, checkpoint: str, clock: Callable[[], int], **trigger) -> StreamingQuery:
