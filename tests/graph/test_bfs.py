@@ -27,7 +27,7 @@ def test_query_searches_whole_tables(spark, small):
         if flag == "R":
             edges.add((f"s{s}", f"c{c}"))
     first = duckdb.sql(f"SELECT min(c_custkey) FROM '{small}/customer.parquet'").fetchall()[0][0]
-    assert {r.node: r.hop for r in catalog.QUERIES["bfs_hops_whole"](spark, small).collect()} == plain(edges, f"c{first}")
+    assert {r.node: r.hop for r in catalog.QUERIES["bfs_hops"](spark, small).collect()} == plain(edges, f"c{first}")
 
 
 def test_hub_and_long_chain(spark):

@@ -55,9 +55,9 @@ def backoff(failures: Column, base: float = 1.0, cap: float = 300.0) -> Column:
     return F.when(failures >= 64, F.lit(float(cap))).otherwise(F.least(doubled, F.lit(float(cap))))
 
 
-def jittered(delay: Column, seed: int | None = None) -> Column:
-    """Uniform between half the delay and the delay."""
-    return delay / 2 + F.rand(seed) * delay / 2
+def jittered(delay: Column, seed: int | None = None, draw: Column | None = None) -> Column:
+    """Uniform between half the delay and the delay; `draw`, from 0 to 1, stands for a random number."""
+    return delay / 2 + (F.rand(seed) if draw is None else draw) * delay / 2
 
 
 def latency_sample(seconds: Column) -> Column:

@@ -101,17 +101,12 @@ def tag_json_extract(spark, d):
     return D.table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
 
 
-@query(with_sql("ev", body="SELECT relay_url, count(*) AS n, min(id) AS first_id, max(created_at) AS newest FROM ev GROUP BY 1"))
+@query(with_sql("ev", body="SELECT relay_url, count(*) AS n, min(id) AS first_id, max(created_at) AS newest FROM (SELECT relay_url, id, created_at FROM ev UNION ALL SELECT 'mirror', id, created_at FROM ev) GROUP BY 1"))
 def fanout_union(spark, d):
-    """The bag union of one scan per relay."""
+    """The bag union of the relays' scan and a mirror's: both copies of an event count."""
     e = D.events(spark, d)
-    relays = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-    union = None
-    for r in relays:
-        part = e.where(F.col("relay_url") == r)
-        union = part if union is None else union.unionByName(part)
-    rest = e.where(~F.col("relay_url").isin(relays))
-    return union.unionByName(rest).groupBy("relay_url").agg(F.count("id").alias("n"), F.min("id").alias("first_id"), F.max("created_at").alias("newest"))
+    union = e.unionByName(e.withColumn("relay_url", F.lit("mirror")))
+    return union.groupBy("relay_url").agg(F.count("id").alias("n"), F.min("id").alias("first_id"), F.max("created_at").alias("newest"))
 
 
 @query("SELECT o_orderkey AS id, CAST(epoch_us(o_orderdate) AS BIGINT) AS us FROM orders")
@@ -121,6 +116,85 @@ def epoch_timestamps(spark, d):
     return stamped.select("id", F.unix_micros("t").alias("us"))
 
 
+# signed events and tags
+
+_NEWEST_ORDER = "(SELECT * FROM (SELECT ev.*, row_number() OVER (PARTITION BY author ORDER BY created_at DESC, id) AS rn FROM ev) WHERE rn = 1)"
+
+
+@query(with_sql("ev", body=f"SELECT author, id, valid FROM {_NEWEST_ORDER}"))
+def signature_check(spark, d):
+    """Each customer's newest order as an event that the customer signed; of every seventh, content, id or signature was changed after."""
+    checked = gate.with_signature_check(D.signed(gate.newest_wins(D.events(spark, d))))
+    return checked.select("author", F.col("order").alias("id"), F.col("valid").cast("boolean").alias("valid"))
+
+
+@query(with_sql("ev", body="SELECT author, id FROM (SELECT *, row_number() OVER (PARTITION BY author ORDER BY created_at DESC, id) AS rn2 FROM (SELECT ev.*, row_number() OVER (PARTITION BY author ORDER BY created_at DESC, id) AS rn FROM ev) WHERE rn <= 2 AND valid) WHERE rn2 = 1"))
+def verified_winners(spark, d):
+    """The newest genuine one of each customer's two newest orders, when only what can win is verified."""
+    from pyspark.sql.window import Window
+
+    rank = F.row_number().over(Window.partitionBy("author").orderBy(F.desc("created_at"), "id"))
+    # ids of signed events are hashes, which would break a tie of two orders at random: the newest is made a second newer
+    two = D.events(spark, d).withColumn("rn", rank).where("rn <= 2").withColumn("created_at", F.col("created_at") + 2 - F.col("rn"))
+    events = D.signed(two).withColumnRenamed("author", "customer").withColumnRenamed("pubkey", "author")
+    winners = gate.resolve_unverified(events, events.select("author"), 3, 1 << 40)
+    return winners.select(F.col("customer").alias("author"), F.col("order").alias("id"))
+
+
+_P_TAGS = """t AS (SELECT l_orderkey AS id, lpad(lower(to_hex(l_suppkey)), 64, '0') AS k, l_linenumber FROM lineitem)"""
+
+
+def _p_tags(spark, d):
+    """Tag lists of orders: a p tag for each line item, and malformed, short, upper-case and other tags."""
+    li = D.table(spark, d, "lineitem")
+    name = F.lpad(F.lower(F.hex("l_suppkey")), 64, "0")
+    tag = F.when(F.col("l_linenumber") == 2, F.array(F.lit("p"), F.upper(F.concat(F.lit("f"), F.substring(name, 2, 63))))).when(F.col("l_linenumber") == 3, F.array(F.lit("t"), name)).otherwise(F.array(F.lit("p"), name, F.lit("wss://hint")))
+    extra = F.array(F.array(F.lit("p")), F.array(F.lit("p"), F.lit("short")), F.array().cast("array<string>"))
+    return li.groupBy(F.col("l_orderkey").alias("id")).agg(F.concat(F.collect_list(tag), extra).alias("tags"))
+
+
+@query(f"WITH {_P_TAGS} SELECT DISTINCT id, k AS followee FROM t WHERE l_linenumber NOT IN (2, 3) AND k <> lpad(lower(to_hex(id % 100)), 64, '0')")
+def tag_followees(spark, d):
+    """Followees of tag lists, whose author is the order's number modulo 100: the author and what is no key are skipped."""
+    author = F.unhex(F.lpad(F.lower(F.hex(F.col("id") % 100)), 64, "0"))
+    lists = _p_tags(spark, d).select("id", tags.followees(F.col("tags"), author).alias("followees"))
+    return lists.select("id", F.explode("followees").alias("k")).select("id", F.lower(F.hex("k")).alias("followee"))
+
+
+_R_MARKS = "CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'read' WHEN 2 THEN 'write' WHEN 3 THEN 'both' ELSE 'elsewhere' END"
+_R_URL = "CASE WHEN o_orderkey % 11 = 0 THEN 'https://x' ELSE 'wss://' || lower(regexp_replace(o_orderpriority, '[^A-Za-z]', '', 'g')) || repeat('/', CAST(o_orderkey % 3 AS INTEGER)) END"
+_R_SQL = f"r AS (SELECT o_custkey AS author, o_orderkey AS pos, rtrim({_R_URL}, '/') AS url, coalesce({_R_MARKS}, 'both') AS marker, {_R_URL} AS raw FROM orders)"
+
+
+def _r_tags(spark, d):
+    """A relay list of each customer: an r tag for each of its orders, in their order."""
+    o = D.table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    url = F.when(k % 11 == 0, "https://x").otherwise(F.concat(F.lit("wss://"), F.lower(F.regexp_replace("o_orderpriority", "[^A-Za-z]", "")), F.expr("repeat('/', cast(o_orderkey % 3 as int))")))
+    marked = F.element_at(F.array(*map(F.lit, ("read", "write", "both", "elsewhere"))), F.greatest(F.lit(1), (k % 5).cast("int")))
+    tag = F.when(k % 5 == 0, F.array(F.lit("r"), url)).otherwise(F.array(F.lit("r"), url, marked))
+    listed = F.array_sort(F.collect_list(F.struct(k.alias("k"), tag.alias("tag"))))
+    return o.groupBy(F.col("o_custkey").alias("author")).agg(F.concat(F.array(F.array(F.lit("x"), F.lit("wss://no"))), F.transform(listed, lambda e: e["tag"])).alias("tags"))
+
+
+@query(f"WITH {_R_SQL} SELECT author, CAST(row_number() OVER (PARTITION BY author ORDER BY pos) AS INTEGER) AS pos, url, marker FROM r QUALIFY marker IN ('read', 'write', 'both') AND url LIKE 'wss://_%'")
+def tag_relay_pairs(spark, d):
+    """(url, marker) of r tags with their places; no marker is both, and unknown markers and other addresses are skipped."""
+    pairs = _r_tags(spark, d).select("author", F.explode(tags.relay_pairs(F.col("tags"))).alias("r"))
+    return pairs.select("author", F.col("r.pos").alias("pos"), F.col("r.url").alias("url"), F.col("r.marker").alias("marker"))
+
+
+@query(f"WITH {_R_SQL}, g AS (SELECT * FROM r WHERE marker IN ('read', 'write', 'both') AND url LIKE 'wss://_%') SELECT author, url, marker FROM (SELECT *, row_number() OVER (PARTITION BY author, url ORDER BY pos) AS rn FROM g) WHERE rn = 1")
+def relay_list_resolve(spark, d):
+    """Relay lists through the gate (an older one of each author loses) to the rows that the table keeps."""
+    newest = _r_tags(spark, d).select("author", F.col("author").alias("id"), F.lit(10_002).alias("kind"), F.lit(2).cast("long").alias("created_at"), "tags")
+    older = newest.withColumns({"created_at": F.lit(1).cast("long"), "tags": F.array(F.array(F.lit("r"), F.lit("wss://old")))})
+    ahead = older.withColumn("created_at", F.lit(1 << 40))
+    lists = gate.resolve(newest.unionByName(older).unionByName(ahead), newest.select("author"), 10_002, AS_OF)
+    pairs = lists.select("author", F.explode(tags.relay_pairs(F.col("tags"))).alias("r")).select("author", F.col("r.pos").alias("pos"), F.col("r.url").alias("url"), F.col("r.marker").alias("marker"))
+    return tags.first_markers(pairs, "author").select("author", "url", "marker")
+
+
 # relay lists
 
 
@@ -176,18 +250,75 @@ def boundary_join(spark, d):
     return D.follows(spark, d).join(c, "follower_id").join(s, "followee_id").select("follower", "followee")
 
 
+_DICTIONARY_SQL = "dc AS (SELECT row_number() OVER (ORDER BY k) AS id, k FROM (SELECT c_name AS k FROM customer UNION SELECT s_name FROM supplier))"
+
+
+@query(with_sql("ev", "req", "win", "fol", body="").strip() + f", {_DICTIONARY_SQL} SELECT a.id AS follower_id, b.id AS followee_id FROM fol JOIN customer ON c_custkey = follower_id JOIN supplier ON s_suppkey = followee_id JOIN dc a ON a.k = c_name JOIN dc b ON b.k = s_name")
+def key_resolution(spark, d):
+    """Edges of keys to edges of surrogate ids."""
+    c, s = (D.table(spark, d, t).select(F.col(f"{t[0]}_{k}").alias("n"), F.col(f"{t[0]}_name").alias("name")) for t, k in (("customer", "custkey"), ("supplier", "suppkey")))
+    known = dictionary.numbered(c.union(s).select(F.col("name").alias("pubkey")), "pubkey")
+    f = D.follows(spark, d).join(c.toDF("follower_id", "author"), "follower_id").join(s.toDF("followee_id", "followee"), "followee_id")
+    return dictionary.resolved(f.select("author", "followee"), known)
+
+
+@query("SELECT row_number() OVER (ORDER BY c_custkey) AS id, lpad(lower(to_hex(c_custkey)), 64, '0') AS pubkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'fetched' ELSE 'discovered' END AS status FROM customer ORDER BY 1".replace("ORDER BY c_custkey", "ORDER BY c_mktsegment <> 'BUILDING', c_custkey"))
+def seeded_vertices(spark, d):
+    """New keys become discovered vertices behind the known ones, which stay as they are."""
+    from ..schemas import PUBKEYS
+    from .ingest import with_keys
+
+    c = D.table(spark, d, "customer").select((F.col("c_mktsegment") == "BUILDING").alias("known"), F.unhex(F.lpad(F.lower(F.hex("c_custkey")), 64, "0")).alias("pubkey"))
+    old = dictionary.numbered(c.where("known"), "pubkey")
+    values = {"status": F.lit("fetched"), "fetch_count": F.lit(1), "change_count": F.lit(1), "fetch_attempts": F.lit(0)}
+    state = old.select(*[F.col(f.name) if f.name in ("id", "pubkey") else values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in PUBKEYS.fields])
+    return with_keys(state, c.select("pubkey")).select("id", F.lower(F.hex("pubkey")).alias("pubkey"), "status")
+
+
+_WAVE_SQL = "w AS (SELECT author, followees, rn FROM (SELECT *, row_number() OVER (PARTITION BY author ORDER BY created_at DESC, id) AS rn FROM li) WHERE rn <= 2)"
+
+
+@query(with_sql("ev", "li", body="").strip() + f", {_WAVE_SQL} SELECT author AS follower_id, unnest(followees) AS followee_id FROM w WHERE rn = CASE WHEN author % 10 = 3 THEN 1 ELSE 2 END")
+def wave_apply(spark, d):
+    """A store of every author's last list but one, after a wave brought a tenth of the authors their last: written as a layer, read merged."""
+    from ..store import Store, fresh
+
+    new, old = _newest_two(spark, d)
+    store = Store(spark, fresh(spark, "wave"))
+    base = store.commit(store.bootstrap(), follows=old)
+    touched = _newest_lists(spark, d).where("author % 10 = 3 and rn = 1").select("author")
+    return store.commit(base, follows=(new.where("follower_id % 10 = 3"), touched)).follows
+
+
+@query(with_sql("ev", "li", body="").strip() + f", {_WAVE_SQL}, n AS (SELECT author, followees FROM w WHERE rn = 1), o AS (SELECT author, followees FROM w WHERE rn = 2) SELECT n.author AS id, 'fetched' AS status, 2 AS fetch_count, CAST(CASE WHEN list_sort(n.followees) <> list_sort(coalesce(o.followees, CAST([] AS BIGINT[]))) THEN 2 ELSE 1 END AS BIGINT) AS change_count FROM n LEFT JOIN o USING (author)".replace("2 AS fetch_count", "CAST(2 AS BIGINT) AS fetch_count"))
+def wave_states(spark, d):
+    """Vertex rows after a wave of lists: a change counts only if the set of edges moved."""
+    from ..schemas import PUBKEYS
+
+    lists = _newest_lists(spark, d)
+    values = {"status": F.lit("discovered"), "fetch_count": F.lit(1), "change_count": F.lit(1), "fetch_attempts": F.lit(0), "pubkey": F.lit(b"")}
+    state = lists.where("rn = 1").select(F.col("author").alias("id")).select(*[F.col("id") if f.name == "id" else values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in PUBKEYS.fields])
+    wave = lists.where("rn = 1").select(F.col("author").alias("id"), F.col("id").cast("string").cast("binary").alias("event_id"), F.lit(None).cast("timestamp").alias("created_at"), F.col("followees").alias("followee_ids"))
+    _, old = _newest_two(spark, d)
+    rows, _, _ = edge_diff.changes(state, lambda who: old.join(who, "follower_id", "left_semi"), wave, F.current_timestamp())
+    return rows.select("id", "status", "fetch_count", "change_count")
+
+
 # edge diffs
 
 _RANKED = "rk AS (SELECT *, row_number() OVER (PARTITION BY author ORDER BY created_at DESC, id) AS rn FROM li)"
 _PAIR = f"""{_RANKED}, n AS (SELECT author, unnest(followees) AS f FROM rk WHERE rn = 1), o AS (SELECT author, unnest(followees) AS f FROM rk WHERE rn = 2)"""
 
 
-def _newest_two(spark, d):
+def _newest_lists(spark, d):
     from pyspark.sql.window import Window
 
     rank = F.row_number().over(Window.partitionBy("author").orderBy(F.desc("created_at"), "id"))
-    ranked = D.lists(spark, d).select("author", "followees", rank.alias("rn")).where("rn <= 2")
-    both = ranked.select("rn", F.col("author").alias("follower_id"), F.explode("followees").alias("followee_id"))
+    return D.lists(spark, d).select("author", "id", "followees", rank.alias("rn")).where("rn <= 2")
+
+
+def _newest_two(spark, d):
+    both = _newest_lists(spark, d).select("rn", F.col("author").alias("follower_id"), F.explode("followees").alias("followee_id"))
     return both.where("rn = 1").drop("rn"), both.where("rn = 2").drop("rn")
 
 
@@ -290,32 +421,11 @@ def staleness_histogram(spark, d):
 
 # graph
 
-_EDGES_SQL = """e AS (SELECT DISTINCT 'c' || o_custkey AS src, 's' || l_suppkey AS dst FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_shipdate < TIMESTAMP '1995-03-01'
-    UNION SELECT DISTINCT 's' || l_suppkey, 'c' || o_custkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_returnflag = 'R' AND l_shipdate < TIMESTAMP '1995-02-15')"""
-
-
-def _graph(spark, d):
-    o = D.table(spark, d, "orders").select(F.concat(F.lit("c"), "o_custkey").alias("c"), "o_orderkey")
-    li = D.table(spark, d, "lineitem").select("l_orderkey", F.concat(F.lit("s"), "l_suppkey").alias("s"), "l_shipdate", "l_returnflag")
-    both = o.join(li, F.col("o_orderkey") == F.col("l_orderkey"))
-    out = both.where("l_shipdate < TIMESTAMP_NTZ'1995-03-01 00:00:00'").select(F.col("c").alias("src"), F.col("s").alias("dst"))
-    back = both.where("l_returnflag = 'R' and l_shipdate < TIMESTAMP_NTZ'1995-02-15 00:00:00'").select(F.col("s").alias("src"), F.col("c").alias("dst"))
-    return out.union(back).distinct()
-
-
-@query(f"WITH RECURSIVE {_EDGES_SQL}, r(node, hop) AS (SELECT 'c' || (SELECT min(c_custkey) FROM customer), 0 UNION SELECT dst, hop + 1 FROM r JOIN e ON src = node WHERE hop < 20) SELECT node, CAST(min(hop) AS INTEGER) AS hop FROM r GROUP BY 1")
-def bfs_hops(spark, d):
-    from ..store import settled
-
-    first = D.table(spark, d, "customer").agg(F.min("c_custkey")).first()[0]
-    return bfs.hops(settled(_graph(spark, d), "edges"), f"c{first}")
-
-
-_WHOLE_SQL = """e AS (SELECT DISTINCT 'c' || o_custkey AS src, 's' || l_suppkey AS dst FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+_EDGES_SQL = """e AS (SELECT DISTINCT 'c' || o_custkey AS src, 's' || l_suppkey AS dst FROM orders JOIN lineitem ON l_orderkey = o_orderkey
     UNION SELECT DISTINCT 's' || l_suppkey, 'c' || o_custkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_returnflag = 'R')"""
 
 
-def _whole_graph(spark, d):
+def _graph(spark, d):
     o = D.table(spark, d, "orders").select(F.concat(F.lit("c"), "o_custkey").alias("c"), "o_orderkey")
     li = D.table(spark, d, "lineitem").select("l_orderkey", F.concat(F.lit("s"), "l_suppkey").alias("s"), "l_returnflag")
     both = o.join(li, F.col("o_orderkey") == F.col("l_orderkey"))
@@ -324,13 +434,11 @@ def _whole_graph(spark, d):
     return out.union(back).distinct()
 
 
-@query(f"WITH RECURSIVE {_WHOLE_SQL}, r(node, hop) USING KEY (node) AS (SELECT 'c' || (SELECT min(c_custkey) FROM customer), 0 UNION SELECT dst, hop + 1 FROM r JOIN e ON src = node WHERE NOT EXISTS (SELECT 1 FROM recurring.r AS k WHERE k.node = dst)) SELECT node, CAST(hop AS INTEGER) AS hop FROM r")
-def bfs_hops_whole(spark, d):
-    """bfs_hops over the whole tables: every line item is an edge, and neither side stops at a number of hops."""
-    from ..store import settled
-
+@query(f"WITH RECURSIVE {_EDGES_SQL}, r(node, hop) USING KEY (node) AS (SELECT 'c' || (SELECT min(c_custkey) FROM customer), 0 UNION SELECT dst, hop + 1 FROM r JOIN e ON src = node WHERE NOT EXISTS (SELECT 1 FROM recurring.r AS k WHERE k.node = dst)) SELECT node, CAST(hop AS INTEGER) AS hop FROM r")
+def bfs_hops(spark, d):
+    """From the first customer over the suppliers of its orders, and from these over who returned what they supplied."""
     first = D.table(spark, d, "customer").agg(F.min("c_custkey")).first()[0]
-    return bfs.hops(settled(_whole_graph(spark, d), "edges"), f"c{first}")
+    return bfs.hops(_graph(spark, d), f"c{first}")
 
 
 # signals
@@ -452,12 +560,12 @@ def notice_routing(spark, d):
     return r.groupBy("source").agg(F.count_if("failed").alias("failures"), F.count_if(~F.col("failed")).alias("blocked"))
 
 
-@query()
+@query("SELECT event_id, failures, most, most / 2 + (event_id * 7919 % 1000)::DOUBLE / 1000 * most / 2 AS delay FROM (SELECT event_id, event_id % 70 AS failures, CASE WHEN event_id % 70 >= 64 THEN 300::DOUBLE ELSE least(power(2::DOUBLE, event_id % 70), 300::DOUBLE) END AS most FROM events)")
 def backoff_jitter(spark, d):
-    """Random waits within their bounds; no SQL, as they differ each time."""
+    """Waits between half and the whole delay, by a draw of each source's own."""
     n = F.col("event_id") % 70
     waits = D.table(spark, d, "events").select("event_id", n.alias("failures"), S.backoff(n).alias("most"))
-    return waits.withColumn("delay", S.jittered(F.col("most"), 7))
+    return waits.withColumn("delay", S.jittered(F.col("most"), draw=(F.col("event_id") * 7919 % 1000).cast("double") / 1000))
 
 
 # fallback

@@ -7,6 +7,10 @@ followees.  `events` are signals: the user is the source.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +39,39 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("author"), seconds.alias("created_at"), F.col("o_orderstatus").alias("kind"), F.col("o_orderpriority").alias("relay_url"), (F.col("o_orderkey") % 7 != 0).alias("valid"))
 
 
+def signed(events: DataFrame) -> DataFrame:
+    """events (id, author, created_at, valid) as signed ones: `order` is their number, and those that aren't valid were changed after signing.
+
+    An author's secret is the hash of its number; the changed part hangs on the order.
+    """
+    from ..deploy import ship
+
+    ship(events.sparkSession)
+    kinds = "id binary, pubkey binary, created_at long, kind int, tags array<array<string>>, content string, sig binary, author long, order long"
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from ..functions import schnorr
+
+        for b in batches:
+            rows = []
+            for order, author, created, valid in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                secret = hashlib.sha256(f"author {author}".encode()).digest()
+                public, tags = schnorr.public_key(secret), [["p", hashlib.sha256(f"{order}".encode()).hexdigest()]]
+                i = schnorr.event_id(public, created, 3, tags, "")
+                sig, content = schnorr.sign(i, secret), ""
+                if not valid:
+                    if order % 3 == 0:
+                        content = "changed"
+                    elif order % 3 == 1:
+                        i = hashlib.sha256(i).digest()
+                    else:
+                        sig = sig[:40] + bytes([sig[40] ^ 1]) + sig[41:]
+                rows.append({"id": i, "pubkey": public, "created_at": created, "kind": 3, "tags": tags, "content": content, "sig": sig, "author": author, "order": order})
+            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("id", pa.binary()), ("pubkey", pa.binary()), ("created_at", pa.int64()), ("kind", pa.int32()), ("tags", pa.list_(pa.list_(pa.string()))), ("content", pa.string()), ("sig", pa.binary()), ("author", pa.int64()), ("order", pa.int64())]))
+
+    return events.select("id", "author", "created_at", "valid").repartition(events.sparkSession.sparkContext.defaultParallelism).mapInArrow(sign, kinds)
+
+
 def requested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("author"))
 
