@@ -169,25 +169,6 @@ def test_token_files_odd_rows(spark, odd, none, tmp_path):
 # licences
 
 
-def test_license_scan_equals_all_pairs(spark, docs):
-    lines = [" and ".join(x) for x in licenses.TEMPLATES.values()] + ["Apache License 2.0 licensed under", "mit license released under the", "the license is free"]
-    texts = [t for _, t in docs[:300]] + lines + ["intro\n" + x + "\nmore of it" for x in lines] + [None, ""]
-    paths = [f"d{i % 3}/e{i % 5}/{i}.txt" for i in range(len(texts))]
-    files = spark.createDataFrame(list(zip(paths, texts, strict=True)), "path string, text string")
-    vocabulary = sorted({w for x in licenses.TEMPLATES.values() for line in x for w in licenses._tokens(line)})
-    df = {w: sum(w in set(licenses._tokens("".join(c if c.isascii() else " " for c in t or ""))) for t in texts) for w in vocabulary}
-    scanner = licenses.Scanner(licenses.TEMPLATES, len(texts), df, licenses.THRESHOLD)
-    found = {r.path: (r.own_license, r.similarity) for r in licenses.scan(files).collect()}
-    for path, text in zip(paths, texts, strict=True):
-        best = (0.0, None)
-        for line in (text or "").split("\n"):
-            cosine, name = scanner.line(line)
-            if cosine > best[0] + 1e-12:
-                best = (cosine, name)
-        assert found[path][0] == (best[1] if best[0] >= licenses.THRESHOLD else None)
-        assert abs(found[path][1] - (best[0] if best[0] >= licenses.THRESHOLD else 0)) < 1e-9
-
-
 def test_license_inheritance(spark):
     mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
     rows = [("LICENSE", mit), ("a.py", "x"), ("src/b.py", None), ("src/lib/COPYING", gpl), ("src/lib/c.py", "code"), ("src/lib/deep/er/d.py", ""), ("src/lib/e.py", "code\n" + mit), ("src/libx/f.py", "f"), (None, mit), (None, None), ("src/b.py", None)]

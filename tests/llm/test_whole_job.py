@@ -40,30 +40,6 @@ def test_licences_in_long_and_wrapped_lines(spark):
     }
 
 
-def test_runs_equal_all_runs():
-    """The search near heavy words finds what comparing every run finds."""
-    import random
-
-    draw = random.Random(1)
-    scanner = licenses.Scanner(licenses.TEMPLATES, 1000, {w: draw.randrange(500) for _, v in licenses.Scanner(licenses.TEMPLATES, 1, {}, 0.75).vectors for w in sorted(v)}, licenses.THRESHOLD)
-    lines = [x for of in licenses.TEMPLATES.values() for x in of]
-    hits = 0
-    for _ in range(300):
-        words = [draw.choice(["foo", "bar", "the", "of", "license", "all"]) for _ in range(draw.randrange(30))]
-        middle = [w for w in licenses._tokens(draw.choice(lines)) if draw.random() < 0.9]
-        at = draw.randrange(len(words) + 1)
-        words = words[:at] + middle + words[at:]
-        best = 0.0
-        for _, n, t in scanner.runs:
-            for a in range(max(1, len(words) - n + 1)):
-                v = scanner._unit(" ".join(words[a : a + n]))
-                best = max(best, sum(x * v[w] for w, x in t.items() if w in v))
-        found = scanner.run(words)[0]
-        assert abs(found - best) < 1e-8 if best >= licenses.THRESHOLD else found < licenses.THRESHOLD
-        hits += best >= licenses.THRESHOLD
-    assert hits > 100
-
-
 def test_lettered_documents_stay_if_no_language_is_learnt(spark):
     rows = [(1, "some text", None), (2, "12 34", None), (3, None, None), (4, "\u4e2d\u6587", None), (None, "more", None), (5, "", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")

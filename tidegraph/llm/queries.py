@@ -103,17 +103,18 @@ def _op4() -> str:
     return f"""
 WITH t(name, k, line) AS (VALUES {templates}),
 tw AS (SELECT name, k, w, count(*) AS c FROM (SELECT name, k, unnest({words.format("line")}) AS w FROM t) GROUP BY 1, 2, 3),
+size AS (SELECT name, k, sum(c) AS size FROM tw GROUP BY 1, 2),
 n AS (SELECT count(*) AS n FROM documents),
-df AS (SELECT w, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest({words.format("text")}) AS w FROM documents) WHERE w IN (SELECT w FROM tw) GROUP BY 1),
-idf AS (SELECT v.w, ln((1 + n)::DOUBLE / (1 + coalesce(df, 0))) + 1 AS idf FROM (SELECT DISTINCT w FROM tw) v CROSS JOIN n LEFT JOIN df ON df.w = v.w),
+df AS (SELECT w, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest({words.format("text")}) AS w FROM documents) GROUP BY 1),
+idf AS (SELECT v.w, ln((1 + n)::DOUBLE / (1 + coalesce(df, 0))) + 1 AS idf FROM (SELECT w FROM tw UNION SELECT w FROM df) v CROSS JOIN n LEFT JOIN df ON df.w = v.w),
 tv AS (SELECT name, k, w, c * idf AS x FROM tw JOIN idf USING (w)),
 tn AS (SELECT name, k, sqrt(sum(x * x)) AS norm FROM tv GROUP BY 1, 2),
 l AS (SELECT doc_id, unnest(range(len(s))) AS i, unnest(s) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)),
 lw AS (SELECT doc_id, i, w, count(*) AS c FROM (SELECT doc_id, i, unnest({words.format("line")}) AS w FROM l) GROUP BY 1, 2, 3),
-lv AS (SELECT doc_id, i, w, c * coalesce(idf, ln((1 + n)::DOUBLE) + 1) AS x FROM lw CROSS JOIN n LEFT JOIN idf USING (w)),
+lv AS (SELECT doc_id, i, w, c * idf AS x FROM lw JOIN idf USING (w)),
 ln_ AS (SELECT doc_id, i, sqrt(sum(x * x)) AS norm FROM lv GROUP BY 1, 2),
 cosine AS (SELECT lv.doc_id, lv.i, tv.name, tv.k, sum(lv.x * tv.x) / (min(ln_.norm) * min(tn.norm)) AS s FROM lv JOIN tv USING (w) JOIN ln_ ON ln_.doc_id = lv.doc_id AND ln_.i = lv.i JOIN tn ON tn.name = tv.name AND tn.k = tv.k GROUP BY 1, 2, 3, 4),
-best AS (SELECT doc_id, name, s FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(s, 11) DESC, i, name, k) AS r FROM cosine WHERE s >= {licenses.THRESHOLD}) WHERE r = 1),
+best AS (SELECT doc_id, name, s FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(s, 9) DESC, size DESC, i, name, k) AS r FROM cosine JOIN size USING (name, k) WHERE s >= {licenses.THRESHOLD}) WHERE r = 1),
 f AS (SELECT d.doc_id, coalesce(source, 'none') || '/' || coalesce(lang, 'none') AS dir,
   CASE WHEN regexp_matches(lower(string_split(text, chr(10))[1]), 'licen[cs]e|rights reserved') THEN 'LICENSE.' ELSE '' END || d.doc_id || '.txt' AS file, name, coalesce(s, 0) AS s FROM documents d LEFT JOIN best USING (doc_id)),
 own AS (SELECT dir, min(dir || '/' || file) AS path, arg_min(name, dir || '/' || file) AS name FROM f WHERE file LIKE 'LICENSE.%' AND name IS NOT NULL GROUP BY 1)
