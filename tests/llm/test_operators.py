@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tidegraph.llm import decontaminate, langid, licenses, nearest, packing, quality, queries, simhash, substring, token_counts, token_files, tokens
+from tidegraph.llm import decontaminate, langid, licenses, nearest, packing, quality, queries, shared, simhash, substring, token_counts, token_files, tokens
 
 from . import brute
 
@@ -409,6 +409,12 @@ def test_pipeline_equals_its_plain_version(spark, small):
     assert {r.doc_id for r in found} == {d for d, _ in docs} and len(docs) < len(table)
 
 
+def test_pipeline_leaves_its_result_alone(spark, small, tmp_path, monkeypatch):
+    monkeypatch.setattr(shared, "shared_dir", lambda spark: f"file://{tmp_path}")
+    found = corpus_pipeline.run(spark, small)
+    assert len([p for p in tmp_path.iterdir() if p.is_dir()]) == 1 and found.count() > 100
+
+
 def test_pipeline_of_odd_rows(spark, odd, none, small):
     for rows in (odd, none):
         docs = rows

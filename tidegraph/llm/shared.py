@@ -21,15 +21,17 @@ BATCH_BYTES = 8 << 20
 BATCH_ROWS = 4000
 
 
+_local: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or where that is unset (as in tests) a temporary one."""
+    """The folder all executors share: spark.checkpoint.dir, or where that is unset (as in tests) a temporary one for the application."""
     sc = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or _local.get(sc.applicationId)
     if not found:
         if not sc.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        found = tempfile.mkdtemp(prefix="shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        found = _local[sc.applicationId] = tempfile.mkdtemp(prefix="shared-")  # Spark lets nobody set it later
     return found.rstrip("/")
 
 
@@ -39,13 +41,31 @@ def delete(spark: SparkSession, path: str) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+_open: list[list[str]] = []
+
+
 def fresh(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, deleted when the driver exits."""
+    """A new path in the shared folder, deleted when the driver exits, or before by the `passing` that it is made in."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     atexit.register(delete, spark, path)
+    if _open:
+        _open[-1].append(path)
     return path
 
 
+@contextlib.contextmanager
+def passing(spark: SparkSession) -> Iterator[list[str]]:
+    """The paths made inside, which are deleted at the end; one that is taken off the list stays."""
+    paths: list[str] = []
+    _open.append(paths)
+    try:
+        yield paths
+    finally:
+        _open.remove(paths)
+        for path in paths:
+            delete(spark, path)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder: later steps start from it, and a lost executor costs no more than its own tasks."""
     path = fresh(df.sparkSession, name)
