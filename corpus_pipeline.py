@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegraph.llm import decontaminate, langid, packing, simhash, substring
-from tidegraph.llm.shared import written
+from tidegraph.llm.shared import delete, passing, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (null texts, texts without a letter) go."""
+    """Documents that are in no language of the corpus go (null texts, texts without a letter or of unknown n-grams); a missing `lang` is filled in."""
     return langid.with_language(docs)
 
 
@@ -46,7 +46,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's rows; what a stage wrote on the way, and its input, go when its output is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with passing(spark) as made:
+            docs = written(stage(spark, docs, sf_dir), name)
+            output = made.pop()  # the last path made
+        if before:
+            delete(spark, before)
+        before = output
     return docs
