@@ -1,8 +1,10 @@
 """Per-source signals: health, quota, backoff, probing, admission.
 
-Each is an ordered fold over one source's samples.  The batch form gathers a source's
-samples in an array; for histories without a bound use the streaming form, whose state
-is a few numbers a source.
+Each is an ordered fold over one source's samples.  A long history is cut by time into
+chunks of about `CHUNK` rows, over all sources, so that no source's rows meet in one task:
+chunks are folded side by side, and what they come to is put together in their order.
+Only probing, whose steps hang on each other, folds a source whole; for histories without
+a bound it has the streaming form, whose state is a few numbers a source.
 """
 
 from __future__ import annotations
@@ -12,12 +14,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.scalars import backoff
+from ..store import settled
 
 #: Defaults (fixed values): weight of a new sample, routing threshold, seconds between probes, fetches at once.
 ALPHA, THRESHOLD, PROBE_SECONDS, PER_SOURCE = 0.3, 0.25, 60, 4
 REQUESTS_PER_SECOND = 4
 
 
+#: Rows of a chunk.
+CHUNK = 200_000
+
+
+def _chunked(rows: DataFrame, order: str = "ts") -> tuple[DataFrame, int]:
+    """rows with the chunk of each (numbered by time, equal times together), and how many chunks there are at most."""
+    parts = -(-rows.count() // CHUNK)
+    if parts <= 1:
+        return rows.withColumn("__chunk", F.lit(0)), 1
+    return settled(rows.repartitionByRange(parts, order).withColumn("__chunk", F.spark_partition_id()), "chunks"), parts
+
+
 def _ordered(*value: str) -> Column:
     return F.array_sort(F.collect_list(F.struct("ts", "seq", *value)))
 
@@ -25,12 +40,20 @@ def _ordered(*value: str) -> Column:
 def health(samples: DataFrame, alpha: float = ALPHA, before: DataFrame | None = None) -> DataFrame:
     """(source, score, n): exponentially weighted mean of samples (source, ts, seq, sample), from 1 or from the score of `before`."""
     keep = 1.0 - alpha
-    rows = samples.groupBy("source").agg(_ordered("sample").alias("__s"))
+    chunked, _ = _chunked(samples)
+    rows = chunked.groupBy("source", "__chunk").agg(_ordered("sample").alias("__s"))
     start = F.lit(1.0)
     if before is not None:
         rows, start = rows.join(before.select("source", F.col("score").alias("__start")), "source", "left"), F.coalesce("__start", F.lit(1.0))
-    fold = F.aggregate(F.transform("__s", lambda e: e["sample"]), start, lambda a, x: a * F.lit(keep) + F.lit(alpha) * x)
-    return rows.select("source", fold.alias("score"), F.size("__s").cast("long").alias("n"))
+
+    def fold(first: Column) -> Column:
+        return F.aggregate(F.transform("__s", lambda e: e["sample"]), first, lambda a, x: a * F.lit(keep) + F.lit(alpha) * x)
+
+    # the first chunk from the start; what a later one leaves of the score before it, and what it adds
+    part = F.struct("__chunk", fold(start).alias("first"), F.pow(F.lit(keep), F.size("__s")).alias("left"), fold(F.lit(0.0)).alias("more"), F.size("__s").cast("long").alias("n"))
+    parts = rows.groupBy("source").agg(F.array_sort(F.collect_list(part)).alias("__p"))  # one entry a chunk
+    later = F.aggregate(F.slice("__p", 2, F.size("__p")), F.get("__p", F.lit(0))["first"], lambda a, c: a * c["left"] + c["more"])
+    return parts.select("source", later.alias("score"), F.aggregate("__p", F.lit(0).cast("long"), lambda a, c: a + c["n"]).alias("n"))
 
 
 def quota(requests: DataFrame, per_second: int = REQUESTS_PER_SECOND, burst: int | None = None, step: int | None = None) -> DataFrame:
@@ -50,17 +73,40 @@ def quota(requests: DataFrame, per_second: int = REQUESTS_PER_SECOND, burst: int
             (a["waited"] + F.greatest(F.lit(0).cast("long"), early)).alias("waited"),
         )
 
-    fold = F.aggregate(F.transform("__s", lambda e: e["ts"]), zero, one)
-    rows = requests.groupBy("source").agg(_ordered().alias("__s")).select("source", fold.alias("q"), F.size("__s").cast("long").alias("n"))
-    return rows.select("source", F.col("q.admitted").alias("admitted"), F.col("q.waited").alias("waited_us"), "n")
+    times = F.transform("__s", lambda e: e["ts"])
+    chunked, parts = _chunked(requests)
+    rows = chunked.groupBy("source", "__chunk").agg(_ordered().alias("__s"))
+    if parts == 1:
+        found = rows.select("source", F.aggregate(times, zero, one).alias("q"), F.size("__s").cast("long").alias("n"))
+    else:
+        # when a chunk's requests come due, told from the last due time before it: first without it, then with it
+        rows = settled(rows, "requests")
+        alone = rows.select("source", F.struct("__chunk", F.aggregate(times, F.lit(0).cast("long"), lambda a, t: F.greatest(a, t) + F.lit(step)).alias("tat"), F.size("__s").cast("long").alias("n")).alias("c"))
+        last = lambda a: F.coalesce(F.try_element_at(a, F.lit(-1))["next"], F.lit(0).cast("long"))
+        none = F.array().cast("array<struct<chunk:int,tat:long,next:long>>")
+        steps = F.aggregate("__p", none, lambda a, c: F.concat(a, F.array(F.struct(c["__chunk"].alias("chunk"), last(a).alias("tat"), F.greatest(last(a) + c["n"] * step, c["tat"]).alias("next")))))
+        due = alone.groupBy("source").agg(F.array_sort(F.collect_list("c")).alias("__p")).select("source", F.explode(steps).alias("c")).select("source", F.col("c.chunk").alias("__chunk"), F.col("c.tat").alias("__tat"))
+        start = F.struct(F.col("__tat").alias("tat"), F.lit(0).cast("long").alias("admitted"), F.lit(0).cast("long").alias("waited"))
+        each = rows.join(due, ["source", "__chunk"]).select("source", F.aggregate(times, start, one).alias("q"), F.size("__s").cast("long").alias("n"))
+        found = each.groupBy("source").agg(F.struct(F.sum("q.admitted").alias("admitted"), F.sum("q.waited").alias("waited")).alias("q"), F.sum("n").alias("n"))
+    return found.select("source", F.col("q.admitted").alias("admitted"), F.col("q.waited").alias("waited_us"), "n")
 
 
 def failures(signals: DataFrame) -> DataFrame:
     """signals (source, ts, seq, failed, reset) and how many failures came since the last reset, this one included."""
-    order = Window.partitionBy("source").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    island = signals.withColumn("__island", F.sum(F.col("reset").cast("int")).over(order))
-    within = Window.partitionBy("source", "__island").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    return island.withColumn("failures", F.sum(F.col("failed").cast("long")).over(within)).drop("__island")
+    chunked, parts = _chunked(signals)
+    order = Window.partitionBy("source", "__chunk").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    island = chunked.withColumn("__island", F.sum(F.col("reset").cast("int")).over(order))
+    within = Window.partitionBy("source", "__chunk", "__island").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    counted = island.withColumn("failures", F.sum(F.col("failed").cast("long")).over(within))
+    if parts > 1:  # failures that stand when a chunk begins: those of the chunks since one with a reset
+        ends = counted.groupBy("source", "__chunk").agg(F.max(F.struct("__island", "failures")).alias("e"))
+        at = Window.partitionBy("source").orderBy("__chunk")  # one row a chunk
+        ends = ends.withColumn("__since", F.sum((F.col("e.__island") > 0).cast("int")).over(at.rowsBetween(Window.unboundedPreceding, 0)))
+        stand = F.sum("e.failures").over(Window.partitionBy("source", "__since").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, 0))
+        carried = ends.withColumn("__stand", stand).select("source", "__chunk", F.coalesce(F.lag("__stand").over(at), F.lit(0)).alias("__carry"))
+        counted = counted.join(carried, ["source", "__chunk"]).withColumn("failures", F.col("failures") + F.when(F.col("__island") == 0, F.col("__carry")).otherwise(0))
+    return counted.select(*signals.columns, "failures")
 
 
 def failures_after(signals: DataFrame, before: DataFrame) -> DataFrame:
@@ -70,7 +116,7 @@ def failures_after(signals: DataFrame, before: DataFrame) -> DataFrame:
     """
     at = F.struct("ts", "seq")
     last = signals.groupBy("source").agg(F.max(F.when(F.col("reset"), at)).alias("__last"))
-    since = signals.join(last, "source").groupBy("source").agg(F.count_if(F.col("failed") & (F.col("__last").isNull() | (at > F.col("__last")))).alias("__n"), F.first("__last").alias("__last"))
+    since = signals.join(last, "source").groupBy("source").agg(F.count_if(F.col("failed") & (F.col("__last").isNull() | (at >= F.col("__last")))).alias("__n"), F.first("__last").alias("__last"))
     known = since.join(before.select("source", F.col("failures").alias("__before")), "source", "left")
     return known.select("source", (F.col("__n") + F.when(F.col("__last").isNull(), F.coalesce("__before", F.lit(0))).otherwise(0)).cast("long").alias("failures"))
 
@@ -108,8 +154,11 @@ def in_use(fetches: DataFrame) -> DataFrame:
     """(source, most): the most fetches (source, seq, start, end) of a source that ran at once; an end comes before a start of its time."""
     ends = F.explode(F.array(F.struct(F.col("start").alias("t"), F.lit(1).alias("d")), F.struct(F.col("end").alias("t"), F.lit(-1).alias("d")))).alias("e")
     steps = fetches.select("source", "seq", ends).select("source", "seq", "e.t", "e.d")
-    running = F.sum("d").over(Window.partitionBy("source").orderBy("t", "d", "seq").rowsBetween(Window.unboundedPreceding, 0))
-    return steps.withColumn("__n", running).groupBy("source").agg(F.max("__n").alias("most"))
+    chunked, _ = _chunked(steps, "t")
+    running = F.sum("d").over(Window.partitionBy("source", "__chunk").orderBy("t", "d", "seq").rowsBetween(Window.unboundedPreceding, 0))
+    parts = chunked.withColumn("__n", running).groupBy("source", "__chunk").agg(F.max("__n").alias("most"), F.sum("d").alias("d"))
+    before = F.coalesce(F.sum("d").over(Window.partitionBy("source").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row a chunk
+    return parts.withColumn("most", F.col("most") + before).groupBy("source").agg(F.max("most").alias("most"))
 
 
 def routed(notices: DataFrame) -> DataFrame:
