@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .shared import map_batches, pick, without, written
+from .shared import map_batches, pick, spread, without, written
 
 WIDTH = 13
 #: Contaminated: hit words are at least one in so many.
@@ -108,7 +108,7 @@ def _scan(docs: DataFrame, windows: Windows, only: bool) -> DataFrame:
             found = pa.RecordBatch.from_arrays([b.column(0), pa.array(counts), pa.array(covered, pa.list_(pa.int32())), pa.array([sorted(x) for x in items], pa.list_(pa.string()))], names=["doc_id", "n_words", "covered", "items"])
             yield from _totals(iter([found])) if only else [found]
 
-    return map_batches(pick(docs, "doc_id", "text"), scan, TOTALS if only else HITS)
+    return map_batches(spread(pick(docs, "doc_id", "text")), scan, TOTALS if only else HITS)
 
 
 def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

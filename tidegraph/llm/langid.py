@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import text as T
-from .shared import column, held_out, map_batches, numbered, pick, without, written
+from .shared import column, held_out, map_batches, numbered, pick, spread, without, written
 
 GRAM = 4
 HASHES = 2
@@ -143,7 +143,7 @@ class Model:
 def kept_grams(docs: DataFrame) -> tuple[list[str], DataFrame]:
     """The languages, by the size of their texts (ties by name), and (gram, i): the n-grams that language i contains."""
     rows = pick(docs, "text", "lang").where("text is not null and lang is not null")
-    counts = written(map_batches(rows, _counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
+    counts = written(map_batches(spread(rows), _counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     # one row a language; a language without any n-gram has none
     sizes = counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "lang").collect()
     known = docs.sparkSession.createDataFrame([(r["lang"], i, float(r["total"])) for i, r in enumerate(sizes)], "lang string, i int, total double")
@@ -226,7 +226,7 @@ def _scan(rows: DataFrame, filters: Filters) -> DataFrame:
                 most[at], total[at] = hits.max(axis=1), hits.sum(axis=1)
             yield pa.RecordBatch.from_arrays([b.column(0), *map(pa.array, (best, most, total, size))], names=["doc_id", "best", "most", "total", "grams"])
 
-    return map_batches(rows, run, "doc_id long, best int, most double, total double, grams long")
+    return map_batches(spread(rows), run, "doc_id long, best int, most double, total double, grams long")
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .shared import map_batches, pick, written
+from .shared import map_batches, pick, spread, written
 
 #: Templates by licence: sentences and notices that headers and licence files state (fixed values).
 TEMPLATES = {
@@ -222,7 +222,7 @@ def frequencies(files: DataFrame) -> DataFrame:
         if held:
             yield out(*added())
 
-    return map_batches(files.select("text"), count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return map_batches(spread(files.select("text")), count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def scan(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshold: float = THRESHOLD, runs: bool = False) -> DataFrame:
@@ -244,7 +244,7 @@ def scan(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshol
             found = [shared.value.text(t.as_py() or b"") for t in b.column(1).cast(pa.large_binary())]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, _FOUND)], names=["path", "found"])
 
-    scanned = written(map_batches(rows, run, f"path string, found {FOUND}").withColumn("__row", F.monotonically_increasing_id()), "scanned")
+    scanned = written(map_batches(spread(rows), run, f"path string, found {FOUND}").withColumn("__row", F.monotonically_increasing_id()), "scanned")
     some = scanned.where(F.size("found") > 0).select("__row", F.posexplode("found").alias("at", "c")).select("__row", "at", "c.*")
     words = some.select("__row", "at", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("__row", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("count"))
     idf = F.log((1.0 + n) / (1.0 + F.coalesce("n", F.lit(0)))) + 1

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .shared import map_batches, pick, written
+from .shared import map_batches, pick, spread, written
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
@@ -44,7 +44,7 @@ def pieces(docs: DataFrame, vocabulary: str, size: int, end_id: int) -> DataFram
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)] if out else [pa.array([], t) for t in kinds], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return map_batches(pick(docs, "doc_id", "text"), cut, PIECES, tokens=True)
+    return map_batches(spread(pick(docs, "doc_id", "text")), cut, PIECES, tokens=True)
 
 
 def sum_of_squares(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

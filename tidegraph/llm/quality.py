@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .shared import held_out, map_batches, pick, written
+from .shared import held_out, map_batches, pick, spread, written
 
 FOURIER = 256
 #: Kernel width, in standard deviations times the root of the number of statistics.
@@ -158,7 +158,7 @@ def features(docs: DataFrame) -> DataFrame:
             x = statistics(b.column(1))
             yield pa.RecordBatch.from_arrays([b.column(0), *map(pa.array, x.T)], names=["doc_id", *STATISTICS])
 
-    return map_batches(pick(docs, "doc_id", "text"), run, "doc_id long, " + ", ".join(f"{s} double" for s in STATISTICS))
+    return map_batches(spread(pick(docs, "doc_id", "text")), run, "doc_id long, " + ", ".join(f"{s} double" for s in STATISTICS))
 
 
 class Model:

@@ -124,5 +124,11 @@ def map_batches(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return df.mapInArrow(run, schema)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores, if a small table's few files leave some without work; never so on a large one."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def held_out(modulus: int, remainder: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder

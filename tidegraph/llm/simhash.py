@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from . import text as T
 from .components import components
-from .shared import map_batches, numbered, pick, without, written
+from .shared import map_batches, numbered, pick, spread, without, written
 
 BITS = 64
 RADIUS = 3
@@ -252,7 +252,7 @@ def simhash_components(docs: DataFrame) -> DataFrame:
     doc_id get a fingerprint but no part in links (component_id null); repeated rows stay
     repeated; an empty table gives an empty result; other columns are ignored.
     """
-    prints = written(map_batches(pick(docs, "doc_id", "text"), _print_batches, "doc_id long, print long"), "prints")
+    prints = written(map_batches(spread(pick(docs, "doc_id", "text")), _print_batches, "doc_id long, print long"), "prints")
     nodes = written(prints.where("doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("node")), "nodes")
     keyed = map_batches(nodes, _key_batches, "key long, print long, node long")
     first = written(map_batches(keyed.repartition("key").sortWithinPartitions("key"), lambda b: _link_batches(b, HOT_BUCKET), LINKS), "links")

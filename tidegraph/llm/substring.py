@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .shared import column, map_batches, numbered, pick, written
+from .shared import column, map_batches, numbered, pick, spread, written
 
 WIDTH = 35
 ANCHOR = 18
@@ -249,7 +249,7 @@ def _decide(width: int):
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR) -> DataFrame:
     """doc_id, of (hash of the text), spans (first and end of runs of words to remove) of documents that have any."""
-    rows = pick(docs, "doc_id", "text")
+    rows = spread(pick(docs, "doc_id", "text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # about 6 bytes a word and an anchor each 9 words; some 8 cells an anchor
     bits = min(SKETCH_BITS, max(12, int(size / 6 / 9 * 8).bit_length()))
@@ -381,7 +381,7 @@ def substring_digests(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 digest.append(sha.hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digest, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    rows = _with_spans(pick(docs, "doc_id", "text"), width).select("__c0", "__text", "__spans")
+    rows = _with_spans(spread(pick(docs, "doc_id", "text")), width).select("__c0", "__text", "__spans")
     return map_batches(rows, digests, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .shared import map_batches, pick
+from .shared import map_batches, pick, spread
 
 
 def token_counts(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", limit: int = 512) -> DataFrame:
@@ -28,4 +28,4 @@ def token_counts(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", limit:
             size = pc.fill_null(pc.binary_length(b.column(1)), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), size, pa.array(n, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
-    return map_batches(pick(docs, "doc_id", "text"), count, "doc_id long, n_bytes long, n_tokens long", tokens=True).withColumn("over_limit", F.col("n_tokens") > limit)
+    return map_batches(spread(pick(docs, "doc_id", "text")), count, "doc_id long, n_bytes long, n_tokens long", tokens=True).withColumn("over_limit", F.col("n_tokens") > limit)

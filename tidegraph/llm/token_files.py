@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .shared import fresh, map_batches, pick, written
+from .shared import fresh, map_batches, pick, spread, written
 
 MANIFEST = "part int, name string, docs long, tokens long, width int"
 #: Rows and tokens that are read back at once.
@@ -92,7 +92,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str = "word_bpe_
         if len(index):
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([name]), pa.array([len(index)]), pa.array([total]), pa.array([width], pa.int32())], names=["part", "name", "docs", "tokens", "width"])
 
-    encoded = map_batches(rows, encode, "doc_id long, ids binary, part int", tokens=True)
+    encoded = map_batches(spread(rows), encode, "doc_id long, ids binary, part int", tokens=True)
     if hot:  # which shard a row takes hangs on its turn: written, it stays so if a task runs again
         encoded = written(encoded, "encoded")
     dealt = encoded.repartitionById(shards, F.col("part"))
