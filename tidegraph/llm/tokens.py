@@ -15,6 +15,7 @@ import re
 import sys
 from array import array
 from collections.abc import Callable, Iterable
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from tokenizers import Tokenizer  # noqa: E402
 
 LITTLE = sys.byteorder == "little"
 #: The memos hold up to twice so many pieces and parts of pieces: together about 200 MB.
-MEMO, PARTS = 300_000, 200_000
+MEMO, PARTS = 400_000, 100_000
 #: Pieces longer than this are encoded but not kept.
 LONG = 64
 #: Characters of a text that are worked on at once, as far as there are places to cut.
@@ -49,6 +50,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 _LETTERS = _byte_letters()
+_ID = attrgetter("id")
 _POINTS = b".,;:!?"
 
 
@@ -83,6 +85,7 @@ class Encoder:
         self.dtype = np.dtype("<u2") if self.library.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.keeps_spaces = bool(self.library.encode(" ", add_special_tokens=False).ids)
+        self.space = _LETTERS[0x20] if self.keeps_spaces else ""
         self.memo = Memo(MEMO, self._learn)
         self.parts = Memo(PARTS, self._part)
 
@@ -114,21 +117,22 @@ class Encoder:
     def _part(self, part: str) -> bytes:
         """The ids of one pre-token."""
         letters = part.replace(" ", _LETTERS[0x20]).replace("\n", _LETTERS[0x0A]) if part.isascii() else part.encode().decode("latin-1").translate(_LETTERS)
-        return self._ids([t.id for t in self.model.tokenize(letters)])
+        return self._ids(list(map(_ID, self.model.tokenize(letters))))
 
     def _learn(self, key: bytes) -> bytes:
         """The ids of a piece that isn't in the memo."""
-        parts = self.parts
-        word = key if key.isalpha() else key.rstrip(_POINTS)
-        if word.isalpha():  # ASCII letters
-            ids = parts[" " + word.decode() if self.keeps_spaces else word.lower().decode()]
-            return ids + parts[key[len(word) :].decode()] if len(word) < len(key) else ids
+        if key.isalpha():  # ASCII letters, a pre-token of their own
+            word = self.space + key.decode() if self.space else key.lower().decode()
+            return self._ids(list(map(_ID, self.model.tokenize(word))))
+        word = key.rstrip(_POINTS)
+        if word.isalpha():
+            return self.memo[word] + self.parts[key[len(word) :].decode()]
         piece = self._piece(key)
         if m := _SIMPLE.fullmatch(piece):
             space, word, points = m.groups()
             word = space + word if self.keeps_spaces else word.lower()
-            ids = parts[word] if space != "\n" or not self.keeps_spaces else parts["\n"] + parts[word[1:]]
-            return ids + parts[points] if points else ids
+            ids = self.parts[word] if space != "\n" or not self.keeps_spaces else self.parts["\n"] + self.parts[word[1:]]
+            return ids + self.parts[points] if points else ids
         return self._ids(self.library.encode(piece, add_special_tokens=False).ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
