@@ -20,7 +20,7 @@ from ..functions.scalars import http_url
 from ..operators import frontier, metrics
 from ..operators.limits import LARGEST_DOCUMENT, parsed
 from ..sources.relay import Connection
-from ..store import Store
+from ..store import Store, settled
 from .crawl import Sources, Stats, crawl, reclaim_leases, reenqueue_stale, sources_of
 from .fleet import Fleet
 
@@ -67,11 +67,12 @@ def sample(store: Store, registry: metrics.Registry, as_of: int) -> None:
     """The frontier's gauges and the ages of the stalest vertices, from the store's newest version."""
     state = store.current().pubkeys
     counts = frontier.counts(state).first()
+    ages = settled(frontier.stalest(state, F.timestamp_seconds(F.lit(as_of))), "ages")
+    buckets = [(b["le"], b["n"]) for b in frontier.histogram(ages, "age").collect()]
+    # all at once, when all is known
+    registry.observe("staleness_age_seconds", buckets, ages.agg(F.sum("age")).first()[0] or 0.0)
     registry.set("frontier_depth", counts["discovered"])
     registry.set("crawl_coverage_ratio", counts["coverage"])
-    ages = frontier.stalest(state, F.timestamp_seconds(F.lit(as_of))).cache()
-    registry.observe("staleness_age_seconds", [(b["le"], b["n"]) for b in frontier.histogram(ages, "age").collect()], ages.agg(F.sum("age")).first()[0] or 0.0)
-    ages.unpersist()
 
 
 class Daemon:
