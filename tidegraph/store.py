@@ -22,10 +22,10 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .schemas import TABLES, VERSION
 
@@ -35,6 +35,8 @@ KEYS = {"pubkeys": "id", "follows": "follower_id", "pubkey_relays": "pubkey_id"}
 BUCKETS, BUCKET_ROWS = 16, 4_000_000
 #: Layers are folded when there are more than so many, or their rows exceed this part of the base and this number.
 LAYERS, PART, FEW = 12, 0.25, 100_000
+#: The version that wrote a layer's row.
+LAYER = T.StructField("__layer", T.LongType())
 #: Versions that are kept.
 RETAINED = 32
 
@@ -106,19 +108,21 @@ class Snapshot:
     def _read(self, name: str, *paths: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name]).parquet(*paths) if paths else self.spark.createDataFrame([], TABLES[name])
 
+    def _layers(self, name: str, part: str, schema: T.StructType) -> DataFrame:
+        """All layers' rows or keys, in one read: each row carries its layer."""
+        return self.spark.read.schema(T.StructType([*schema.fields, LAYER])).parquet(*[f"{x['at']}/{part}" for x in self.tables[name].layers])
+
     def _newest(self, name: str) -> DataFrame:
         """(key, __layer): the newest layer that names each key of any."""
         key = KEYS[name]
-        parts = [self.spark.read.schema(f"{key} long").parquet(f"{x['at']}/keys").withColumn("__layer", F.lit(i)) for i, x in enumerate(self.tables[name].layers)]
-        return reduce(DataFrame.unionByName, parts).groupBy(key).agg(F.max("__layer").alias("__layer"))
+        return self._layers(name, "keys", T.StructType([TABLES[name][key]])).groupBy(key).agg(F.max("__layer").alias("__layer"))
 
     def _merged(self, name: str, base: DataFrame) -> DataFrame:
-        t, key = self.tables[name], KEYS[name]
-        if not t.layers:
+        key = KEYS[name]
+        if not self.tables[name].layers:
             return base
         newest = self._newest(name)
-        parts = [self._read(name, f"{x['at']}/rows").withColumn("__layer", F.lit(i)) for i, x in enumerate(t.layers)]
-        over = reduce(DataFrame.unionByName, parts).join(newest, [key, "__layer"], "left_semi").select(*base.columns)
+        over = self._layers(name, "rows", TABLES[name]).join(newest, [key, "__layer"], "left_semi").select(*base.columns)
         return base.join(newest, key, "left_anti").select(*base.columns).unionByName(over)
 
     def table(self, name: str) -> DataFrame:
@@ -234,7 +238,7 @@ class Store:
         tables = dict(base.tables)
         for name, change in changes.items():
             rows, keys = change if isinstance(change, tuple) else (change, None)
-            tables[name] = self._layered(tables[name], name, f"{home}/{name}", rows, keys)
+            tables[name] = self._layered(tables[name], name, f"{home}/{name}", base.version + 1, rows, keys)
         after = Snapshot(self.spark, base.version + 1, tables)
         for name in changes:
             t = tables[name]
@@ -263,11 +267,11 @@ class Store:
                     raise
         raise AssertionError
 
-    def _layered(self, t: Table, name: str, at: str, rows: DataFrame, keys: DataFrame | None) -> Table:
-        key = KEYS[name]
-        rows.select(*TABLES[name].names).write.parquet(f"{at}/rows")
+    def _layered(self, t: Table, name: str, at: str, version: int, rows: DataFrame, keys: DataFrame | None) -> Table:
+        key, layer = KEYS[name], F.lit(version).cast("long").alias("__layer")
+        rows.select(*TABLES[name].names, layer).write.parquet(f"{at}/rows")
         written = self.spark.read.schema(TABLES[name]).parquet(f"{at}/rows")
-        (written.select(key) if keys is None else keys.toDF(key)).distinct().write.parquet(f"{at}/keys")
+        (written.select(key) if keys is None else keys.toDF(key)).distinct().select(key, layer).write.parquet(f"{at}/keys")
         return Table(t.buckets, t.rows, t.base, (*t.layers, {"at": at, "rows": written.count()}))
 
     def _folded(self, after: Snapshot, name: str, at: str) -> Table:
