@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -31,12 +32,13 @@ def pieces(docs: DataFrame, vocabulary: str, size: int, end_id: int) -> DataFram
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens.encoder(tokens.path(vocabulary))
-        end = np.array([end_id], dtype=encoder.dtype).tobytes()
         for b in batches:
             ids, out = b.column(0).to_pylist(), []
             for row, texts in tokens.balanced(b.column(1)):
-                for i, raw in enumerate(encoder.encode(texts), row):
-                    all_ids = np.frombuffer(raw + end, dtype=encoder.dtype).astype("<u4")
+                values, ends = encoder.ended(texts, end_id)
+                values, ends = values.astype("<u4"), ends.tolist()
+                for i, (a, z) in enumerate(pairwise(ends), row):
+                    all_ids = values[a:z]
                     at, stop, k = 0, len(all_ids) % size or size, 0
                     while at < len(all_ids):
                         out.append((ids[i], k, at, stop - at, zlib.crc32(all_ids[at:stop])))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -24,7 +25,7 @@ def token_counts(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", limit:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens.encoder(tokens.path(vocabulary))
         for b in batches:
-            n = [len(ids) // encoder.dtype.itemsize for _, texts in tokens.balanced(b.column(1)) for ids in encoder.encode(texts)]
+            n = np.concatenate([np.empty(0, np.int64), *(np.diff(encoder.arrays(texts)[1]) for _, texts in tokens.balanced(b.column(1)))])
             size = pc.fill_null(pc.binary_length(b.column(1)), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), size, pa.array(n, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 

@@ -61,7 +61,6 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str = "word_bpe_
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens.encoder(tokens.path(vocabulary))
-        end = np.array([end_id], dtype=encoder.dtype).tobytes()
         turn = 0
         for b in batches:
             doc = b.column(0).cast(pa.int64()).fill_null(NULL_ID).to_numpy(zero_copy_only=False)
@@ -69,7 +68,9 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str = "word_bpe_
             part = low + (turn + np.arange(len(doc))) % (high - low + 1) if hot else low
             turn += len(doc)
             for row, texts in tokens.balanced(b.column(1)):
-                ids = pa.array([x + end for x in encoder.encode(texts)], pa.binary())
+                values, at = encoder.ended(texts, end_id)
+                ends = (at * encoder.dtype.itemsize).astype(np.int32)
+                ids = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(ends), pa.py_buffer(values)])
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(row, len(texts)), ids, pa.array(part[row : row + len(texts)].astype(np.int32))], names=["doc_id", "ids", "part"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
